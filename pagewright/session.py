@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,3 +44,17 @@ def checkpointed(df: DataFrame) -> DataFrame:
         shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
         sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
     return df.checkpoint(eager=True)
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors' Python workers this package, once per context, unless PYTHONPATH does so."""
+    root = Path(__file__).resolve().parent.parent
+    sc = spark.sparkContext
+    if str(root) in os.environ.get("PYTHONPATH", "").split(os.pathsep) or sc in _shipped:
+        return
+    base = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+    sc.addPyFile(shutil.make_archive(f"{base}/pagewright", "zip", root, "pagewright"))
+    _shipped.append(sc)
+
+
+_shipped: list = []
