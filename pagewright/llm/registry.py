@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import queries_pairs
+from . import queries_credentials, queries_pairs
 
-MODULES = (queries_pairs,)
+MODULES = (queries_pairs, queries_credentials)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
