@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import queries_credentials, queries_pairs
+from . import queries_credentials, queries_pairs, queries_site_lines
 
-MODULES = (queries_pairs, queries_credentials)
+MODULES = (queries_pairs, queries_credentials, queries_site_lines)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
