@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import queries_boilerplate, queries_credentials, queries_pairs, queries_site_lines
+from . import queries_boilerplate, queries_credentials, queries_leakage, queries_pairs, queries_site_lines
 
-MODULES = (queries_pairs, queries_credentials, queries_site_lines, queries_boilerplate)
+MODULES = (queries_pairs, queries_credentials, queries_site_lines, queries_boilerplate, queries_leakage)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
