@@ -140,5 +140,10 @@ def utc_text(utc: Column) -> Column:
     return F.when(utc.isNotNull(), F.concat(F.left(s, F.lit(10)), F.lit("T"), F.substring(s, 12, 8), F.lit("Z")))
 
 
+def as_ntz(instant: Column) -> Column:
+    """UTC wall clock of a TIMESTAMP, whatever the session's zone, to the second."""
+    return F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00")) + F.call_function("make_dt_interval", F.lit(0), F.lit(0), F.lit(0), F.unix_seconds(instant).cast("decimal(18,6)"))
+
+
 def is_canonical(value: Column) -> Column:
     return F.coalesce(value.rlike(CANONICAL + r"(?!\n)"), F.lit(False)) & (F.length(value) == 20)

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.timestamps import is_canonical, parse_moment, shift_minutes, to_utc, utc_text
+from ..functions.timestamps import as_ntz, is_canonical, parse_moment, shift_minutes, to_utc, utc_text
 
 #: Offset histories tried for a source that declares none.
 CANDIDATES = ("UTC", "Europe/London", "Europe/Prague", "Europe/Bucharest")
@@ -28,8 +28,7 @@ def zone_violations(stamps: DataFrame, source: str, arrived: str, candidates: tu
     don't count; an empty table gives no rows.
     """
     usable = stamps.where(F.col(source).isNotNull() & F.col("wall").isNotNull())
-    late = F.convert_timezone(F.lit("UTC"), F.lit("UTC"), F.to_timestamp_ntz(F.date_format(arrived, "yyyy-MM-dd HH:mm:ss")))
-    limit = shift_minutes(late, F.lit(TOLERANCE_MINUTES))
+    limit = shift_minutes(as_ntz(F.col(arrived)), F.lit(TOLERANCE_MINUTES))
     counts = [F.count(F.lit(1)).alias("n")]
     for i, zone in enumerate(candidates):
         local = F.convert_timezone(F.lit(zone), F.lit("UTC"), F.col("wall"))

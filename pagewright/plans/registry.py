@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import timestamps
+from . import frontier, tables, timestamps
 
-MODULES = (timestamps,)
+MODULES = (frontier, tables, timestamps)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
