@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import frontier, tables, timestamps
+from . import documents, frontier, tables, timestamps, transcripts
 
-MODULES = (frontier, tables, timestamps)
+MODULES = (frontier, tables, transcripts, documents, timestamps)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
