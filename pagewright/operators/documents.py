@@ -83,20 +83,20 @@ def first_sentences(text: Column, tokens: int) -> Column:
 def table_rows(documents: DataFrame, key: str, text: str) -> DataFrame:
     """``key, line_no, n_cells, record``: rows of Markdown tables as ``header: cell`` records.
 
-    A header is the line before a rule of dashes; it holds until a line without bars. The lines of one
-    document stay together, so the running header is a fold over its own lines.
+    The first line of a run of lines between bars is its header, rules of dashes are passed over; tags around
+    the bars don't count. The lines of one document stay together, so no shuffle is needed.
     """
-    lines = F.split(F.col(text), "\n")
-    is_row = lambda x: F.trim(x).rlike(r"^\|.*\|$")
+    lines = F.transform(F.split(F.col(text), "\n"), lambda x: F.trim(F.regexp_replace(x, r"<[^<>]*>", "")))
+    is_row = lambda x: x.rlike(r"^\|.*\|$")
     rule = r"^\|(?:\s*:?-+:?\s*\|)+$"
-    cells = lambda x: F.transform(F.split(F.regexp_replace(F.trim(x), r"^\||\|$", ""), r"\|", -1), F.trim)
-    ahead = F.transform(lines, lambda x, i: F.struct((i + 1).alias("line_no"), x.alias("line"), F.coalesce(F.get(lines, i + 1), F.lit("")).alias("next")))
-    table_lines = F.filter(ahead, lambda x: is_row(x["line"]))
-    # a row's header: the last header line at or before it
-    headers = F.filter(table_lines, lambda x: F.trim(x["next"]).rlike(rule))
-    body = F.filter(table_lines, lambda x: ~F.trim(x["line"]).rlike(rule) & ~F.trim(x["next"]).rlike(rule))
-    exploded = documents.where(F.contains(text, F.lit("|"))).select(key, headers.alias("headers"), F.inline(body))
+    cells = lambda x: F.transform(F.split(F.regexp_replace(x, r"^\||\|$", ""), r"\|", -1), lambda c: F.trim(c))
+    t = documents.where(F.contains(text, F.lit("|"))).select(key, F.inline(F.array(F.struct(lines.alias("lines")))))
+    rows = F.filter(F.transform("lines", lambda x, i: F.struct((i + 1).alias("line_no"), x.alias("line"), F.coalesce(F.get("lines", i - 1), F.lit("")).alias("prev"))), lambda r: is_row(r["line"]))
+    t = t.select(key, F.inline(F.array(F.struct(rows.alias("rows")))))
+    headers = F.filter("rows", lambda r: ~is_row(r["prev"]))
+    body = F.filter("rows", lambda r: is_row(r["prev"]) & ~r["line"].rlike(rule))
+    exploded = t.select(key, headers.alias("headers"), F.inline(body))
     own = F.element_at(F.filter("headers", lambda h: h["line_no"] < F.col("line_no")), -1)
-    joined = exploded.where(F.size(F.filter("headers", lambda h: h["line_no"] < F.col("line_no"))) > 0).select(key, "line_no", cells(own["line"]).alias("names"), cells(F.col("line")).alias("cells"))
-    record = F.array_join(F.filter(F.zip_with("names", "cells", lambda n, c: F.when((c.isNotNull()) & (c != ""), F.concat(n, F.lit(": "), c))), lambda x: x.isNotNull()), " | ")
+    joined = exploded.select(key, "line_no", cells(own["line"]).alias("names"), cells(F.col("line")).alias("cells"))
+    record = F.array_join(F.filter(F.zip_with("names", "cells", lambda n, c: F.when(c != "", F.concat(F.coalesce(n, F.lit("")), F.lit(": "), c))), lambda x: x.isNotNull()), " | ")
     return joined.select(key, "line_no", F.size("cells").alias("n_cells"), record.alias("record"))

@@ -48,7 +48,7 @@ def first_sentences(spark: SparkSession, d: str) -> DataFrame:
 
 
 def table_rows(spark: SparkSession, d: str) -> DataFrame:
-    return docs.table_rows(table(spark, d, "documents"), "doc_id", "text")
+    return docs.table_rows(table(spark, d, "scraped_pages"), "page_id", "content")
 
 
 def json_keys(spark: SparkSession, d: str) -> DataFrame:
@@ -81,5 +81,11 @@ SELECT provider, CASE WHEN coalesce(m, 0) = 0 THEN 'empty' WHEN h < 2000 THEN 'g
 n AS (SELECT site_id, count(*) AS n_over FROM documents JOIN s USING (site) WHERE text IS NOT NULL AND {TOKENS_SQL.format('text')} > m GROUP BY site_id),
 a AS (SELECT site_id, m - 100 AS avail, least((m - 100) // 4, 300) AS page FROM s), b AS (SELECT *, least((avail - page) // 3, 400) AS file FROM a), c AS (SELECT *, least((avail - page - file) // 2, 250) AS overlap FROM b)
 SELECT site_id, coalesce(n_over, 0) AS n_over, CAST(page AS INTEGER) AS page, CAST(file AS INTEGER) AS file, CAST(overlap AS INTEGER) AS overlap, CAST(avail - page - file - overlap AS INTEGER) AS question FROM c LEFT JOIN n USING (site_id)""",
+    "table_rows": r"""WITH p AS (SELECT page_id, string_split(content, chr(10)) AS x FROM scraped_pages WHERE contains(content, '|')),
+l AS (SELECT page_id, CAST(generate_subscripts(x, 1) AS INTEGER) AS line_no, trim(regexp_replace(unnest(x), '<[^<>]*>', '', 'g'), ' ') AS line FROM p),
+r AS (SELECT *, regexp_matches(line, '^\|.*\|$') AS is_row FROM l), q AS (SELECT *, lag(is_row, 1, false) OVER (PARTITION BY page_id ORDER BY line_no) AS prev FROM r),
+h AS (SELECT *, last_value(CASE WHEN is_row AND NOT prev THEN line END IGNORE NULLS) OVER (PARTITION BY page_id ORDER BY line_no) AS header FROM q),
+c AS (SELECT page_id, line_no, list_transform(string_split(regexp_replace(line, '^\||\|$', '', 'g'), '|'), lambda c : trim(c, ' ')) AS cells, list_transform(string_split(regexp_replace(header, '^\||\|$', '', 'g'), '|'), lambda c : trim(c, ' ')) AS names FROM h WHERE is_row AND prev AND NOT regexp_matches(line, '^\|(?:\s*:?-+:?\s*\|)+$'))
+SELECT page_id, line_no, CAST(len(cells) AS INTEGER) AS n_cells, array_to_string(list_filter(list_transform(cells, lambda c, i : CASE WHEN c <> '' THEN coalesce(names[i], '') || ': ' || c END), lambda z : z IS NOT NULL), ' | ') AS record FROM c""",
     "json_keys": "WITH f AS (SELECT file_id, unnest(json_keys(body)) AS key FROM code_files WHERE file_lang = 'json' AND body IS NOT NULL AND json_valid(body) AND json_type(body) = 'OBJECT') SELECT key, count(DISTINCT file_id) AS n_files FROM f GROUP BY key",
 }

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import shutil
 import tempfile
+import uuid
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -46,6 +47,12 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder that all executors share: under ``spark.checkpoint.dir``, else our own as for checkpoints."""
+    base = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
+
+
 def ship(spark: SparkSession) -> None:
     """Give the executors' Python workers this package, once per context, unless PYTHONPATH does so."""
     root = Path(__file__).resolve().parent.parent
