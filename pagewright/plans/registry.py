@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import documents, feeds, frontier, pages, streams, tables, timestamps, transcripts
+from . import documents, feeds, frontier, pages, records, streams, tables, timestamps, transcripts
 
-MODULES = (frontier, tables, transcripts, documents, pages, feeds, streams, timestamps)
+MODULES = (frontier, tables, transcripts, documents, pages, records, feeds, streams, timestamps)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
