@@ -33,5 +33,5 @@ def folded(text: Column) -> Column:
 
 
 def estimated_tokens(text: Column) -> Column:
-    """``max(1, int(length / 3.2))``, 0 for the empty text."""
-    return F.when(text == "", 0).otherwise(F.greatest(F.lit(1), (F.length(text) / F.expr("3.2D")).cast("int")))
+    """``max(1, int(length / 3.2))``, 0 for the empty text, NULL for NULL."""
+    return F.when(text == "", 0).when(text.isNotNull(), F.greatest(F.lit(1), (F.length(text) / F.expr("3.2D")).cast("int")))

@@ -75,7 +75,7 @@ def frontier_lastmod_lookup(spark: SparkSession, d: str) -> DataFrame:
     e = table(spark, d, "event_items").select(F.col("event_id").alias("page_id"), F.col("source_url").alias("url"))
     s = table(spark, d, "sitemap")
     e = e.unionByName(s.select((-F.col("sitemap_id")).alias("page_id"), F.concat(F.regexp_replace("url", "://www\\.", "://"), F.lit("/")).alias("url")))
-    return frontier.lastmod_lookup(e, s)
+    return frontier.lastmod_lookup(e, s).na.fill(0, ["strategy"])
 
 
 def frontier_known_pages(spark: SparkSession, d: str) -> DataFrame:
@@ -139,7 +139,7 @@ sk AS (SELECT url, lastmod, list_ord, rtrim({CANONICAL_SQL}, '/') AS k2, regexp_
 hits AS (SELECT page_id, 1 AS strategy, lastmod, list_ord FROM pk JOIN sk USING (url) UNION ALL SELECT page_id, 2, lastmod, list_ord FROM pk JOIN sk USING (k2)
   UNION ALL SELECT page_id, 3, lastmod, list_ord FROM pk JOIN sk USING (k3) UNION ALL SELECT page_id, 4, lastmod, list_ord FROM pk JOIN sk USING (k4)),
 best AS (SELECT * FROM hits QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY strategy, list_ord) = 1)
-SELECT page_id, CAST(strategy AS INTEGER) AS strategy, lastmod FROM p LEFT JOIN best USING (page_id)""",
+SELECT page_id, CAST(coalesce(strategy, 0) AS INTEGER) AS strategy, lastmod FROM p LEFT JOIN best USING (page_id)""",
     "frontier_known_pages": rf"""WITH s AS (SELECT site_id, {CANONICAL_SQL} AS canonical FROM sitemap WHERE url IS NOT NULL), p AS (SELECT DISTINCT {CANONICAL_SQL} AS canonical FROM documents)
 SELECT site_id, count(*) AS n_urls, count(p.canonical) AS n_known FROM s LEFT JOIN p USING (canonical) GROUP BY site_id""",
     "frontier_reachable": r"""WITH RECURSIVE parts AS (SELECT site_id, string_split(nav_path, ' > ') AS p FROM sitemap WHERE nav_path IS NOT NULL),

@@ -16,7 +16,7 @@ LANGUAGES = ("Čeština", "English", "Deutsch", "Polski", "Slovenčina", "CZ", "
 
 
 def contacts(spark: SparkSession, d: str) -> DataFrame:
-    return r.best_contacts(r.contact_rows(table(spark, d, "documents")))
+    return r.best_contacts(r.contact_rows(table(spark, d, "documents"))).withColumn("phone", F.col("phone").cast("string"))
 
 
 def speaker_names(spark: SparkSession, d: str) -> DataFrame:
@@ -26,7 +26,8 @@ def speaker_names(spark: SparkSession, d: str) -> DataFrame:
 
 def event_times(spark: SparkSession, d: str) -> DataFrame:
     e = table(spark, d, "event_items").select("event_id", r.minutes_of(F.col("time_from")).alias("begins"), r.minutes_of(F.col("time_to")).alias("ends"))
-    return e.withColumn("lasts", F.when(F.col("ends") >= F.col("begins"), F.col("ends") - F.col("begins")))
+    lasts = F.when(F.col("ends") >= F.col("begins"), F.col("ends") - F.col("begins"))
+    return e.withColumn("lasts", lasts).na.fill(-1, ["begins", "ends", "lasts"])
 
 
 def items_under_headings(spark: SparkSession, d: str) -> DataFrame:
@@ -73,13 +74,13 @@ l AS (SELECT doc_id, CAST(generate_subscripts(x, 1) AS INTEGER) AS line_no, unne
 f AS (SELECT doc_id, line_no, list_filter(list_transform(string_split_regex(regexp_replace(line, '^[\s\-*•|]+|[\s|]+$', '', 'g'), '\s*[|;]\s*'), lambda x : trim(x, ' ')), lambda x : x <> '') AS f FROM l WHERE regexp_matches(line, '[|;]') AND regexp_matches(line, '{r.MAIL}')),
 c AS (SELECT doc_id, line_no, list_filter(f, lambda x : NOT regexp_matches(x, '^{r.MAIL}$') AND NOT regexp_matches(regexp_replace(x, '[^0-9]', '', 'g'), '^\d{{9,14}}$'))[1] AS name, list_filter(f, lambda x : regexp_matches(x, '^{r.MAIL}$'))[1] AS email, list_filter(f, lambda x : regexp_matches(regexp_replace(x, '[^0-9]', '', 'g'), '^\d{{9,14}}$'))[1] AS p FROM f WHERE len(f) = 3),
 n AS (SELECT doc_id, line_no, name, lower(email) AS email, CASE WHEN regexp_matches({PHONE}, '^\d{{9}}$') THEN CAST({PHONE} AS BIGINT) END AS phone FROM c WHERE email IS NOT NULL AND name IS NOT NULL)
-SELECT email, doc_id, line_no, name, phone FROM n QUALIFY row_number() OVER (PARTITION BY email ORDER BY (phone IS NOT NULL)::INT + (trim(name, ' ') <> '')::INT DESC, doc_id DESC, line_no DESC) = 1""",
+SELECT email, doc_id, line_no, name, CAST(phone AS VARCHAR) AS phone FROM n QUALIFY row_number() OVER (PARTITION BY email ORDER BY (phone IS NOT NULL)::INT + (trim(name, ' ') <> '')::INT DESC, doc_id DESC, line_no DESC) = 1""",
     "speaker_names": rf"""WITH s AS (SELECT event_id, string_split_regex(speakers, '\s*\|\s*') AS x FROM event_items WHERE speakers IS NOT NULL), l AS (SELECT event_id, CAST(generate_subscripts(x, 1) - 1 AS INTEGER) AS pos, trim(regexp_replace(unnest(x), '\s+', ' ', 'g'), ' ') AS t FROM s),
 b AS (SELECT *, regexp_extract(t, '{r.TITLES_BEFORE}') AS before, regexp_extract(t, '{r.TITLES_AFTER}') AS after, trim(regexp_replace(regexp_replace(t, '{r.TITLES_BEFORE}', ''), '{r.TITLES_AFTER}', ''), ' ') AS bare FROM l)
 SELECT event_id, pos, trim(trim(before, ' ') || ' ' || regexp_replace(after, '^,\s*', ''), ' ') AS title, trim(regexp_replace(bare, '\S+$', ''), ' ') AS first_name, regexp_extract(bare, '(\S+)$', 1) AS last_name FROM b""",
     "event_times": r"""WITH m AS (SELECT event_id, TRY_CAST(regexp_extract(time_from, '(\d{1,2})', 1) AS INTEGER) AS h1, coalesce(TRY_CAST(regexp_extract(time_from, '\d{1,2}[:.](\d{2})', 1) AS INTEGER), 0) AS m1, TRY_CAST(regexp_extract(time_to, '(\d{1,2})', 1) AS INTEGER) AS h2, coalesce(TRY_CAST(regexp_extract(time_to, '\d{1,2}[:.](\d{2})', 1) AS INTEGER), 0) AS m2 FROM event_items),
 t AS (SELECT event_id, CASE WHEN h1 < 24 AND m1 < 60 THEN h1 * 60 + m1 END AS begins, CASE WHEN h2 < 24 AND m2 < 60 THEN h2 * 60 + m2 END AS ends FROM m)
-SELECT *, CASE WHEN ends >= begins THEN ends - begins END AS lasts FROM t""",
+SELECT event_id, coalesce(begins, -1) AS begins, coalesce(ends, -1) AS ends, CASE WHEN ends >= begins THEN ends - begins ELSE -1 END AS lasts FROM t""",
     "items_under_headings": r"""WITH t AS (SELECT page_id, string_split(content, chr(10)) AS x FROM scraped_pages WHERE content IS NOT NULL), l AS (SELECT page_id, CAST(generate_subscripts(x, 1) AS INTEGER) AS line_no, unnest(x) AS line FROM t),
 h AS (SELECT *, last_value(CASE WHEN regexp_matches(line, '^#{1,6}\s+\S') THEN trim(regexp_replace(line, '^#{1,6}\s+', ''), ' ') END IGNORE NULLS) OVER (PARTITION BY page_id ORDER BY line_no) AS heading FROM l)
 SELECT page_id, line_no, heading, trim(regexp_replace(line, '^\s*[-*•]\s+', ''), ' ') AS item FROM h WHERE regexp_matches(line, '^\s*[-*•]\s+\S') AND heading IS NOT NULL""",
