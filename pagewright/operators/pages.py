@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import chunking, html, urls
+from ..session import spread
 
 
 def links(pages: DataFrame) -> DataFrame:
@@ -28,7 +29,7 @@ def links(pages: DataFrame) -> DataFrame:
                     anchors.append(anchor)
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(ords, pa.int32()), pa.array(hrefs, pa.string()), pa.array(anchors, pa.string())], ["page_id", "ord", "href", "anchor"])
 
-    source = pages.where(F.lower("content").contains("<a ")).select("page_id", "content")
+    source = spread(pages.where(F.lower("content").contains("<a ")).select("page_id", "content"))
     found = source.mapInArrow(scan, "page_id bigint, ord int, href string, anchor string")
     bases = pages.select("page_id", F.coalesce("url", "base_url").alias("base"))
     outward = ~F.col("href").rlike(r"(?i)^(?:#|$|mailto:|tel:|javascript:|data:)")
@@ -64,7 +65,7 @@ def as_markdown(pages: DataFrame, selectors: Column) -> DataFrame:
                 titles.append(html.read(content).title.strip() or None)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string()), pa.array(titles, pa.string())], ["page_id", "markdown", "title"])
 
-    return pages.select("page_id", "content", selectors.alias("selectors")).mapInArrow(scan, "page_id bigint, markdown string, title string")
+    return spread(pages.select("page_id", "content", selectors.alias("selectors"))).mapInArrow(scan, "page_id bigint, markdown string, title string")
 
 
 def chunks(documents: DataFrame, key: str, text: str, most: int = 4096, offset: int = 500, ratio: float = 0.5) -> DataFrame:
@@ -82,7 +83,7 @@ def chunks(documents: DataFrame, key: str, text: str, most: int = 4096, offset:
                     contents.append(content)
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(numbers, pa.int32()), pa.array(counts, pa.int32()), pa.array(contents, pa.string())], ["doc", "chunk_number", "tokens", "content"])
 
-    cut = documents.where(F.col(text).isNotNull()).select(F.col(key).cast("bigint"), text).mapInArrow(scan, "doc bigint, chunk_number int, tokens int, content string")
+    cut = spread(documents.where(F.col(text).isNotNull()).select(F.col(key).cast("bigint"), text)).mapInArrow(scan, "doc bigint, chunk_number int, tokens int, content string")
     return cut.select(F.col("doc").alias(key), "chunk_number", urls.chunk_postfix(F.col("chunk_number") - 1).alias("chunk_postfix"), "tokens", "content")
 
 
@@ -94,7 +95,7 @@ def sections(documents: DataFrame, key: str, text: str, most_chars: int = 6000)
             rows = [(doc, i, s) for doc, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) for i, s in enumerate(chunking.by_headings(body, most_chars), 1)]
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.string())], ["doc", "section_number", "content"])
 
-    cut = documents.where(F.col(text).isNotNull()).select(F.col(key).cast("bigint"), text).mapInArrow(scan, "doc bigint, section_number int, content string")
+    cut = spread(documents.where(F.col(text).isNotNull()).select(F.col(key).cast("bigint"), text)).mapInArrow(scan, "doc bigint, section_number int, content string")
     return cut.withColumnRenamed("doc", key)
 
 

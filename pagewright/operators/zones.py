@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.timestamps import as_ntz, is_canonical, parse_moment, shift_minutes, to_utc, utc_text
+from ..session import spread
 
 #: Offset histories tried for a source that declares none.
 CANDIDATES = ("UTC", "Europe/London", "Europe/Prague", "Europe/Bucharest")
@@ -67,7 +68,7 @@ def project_stamps(sitemap: DataFrame, event_items: DataFrame) -> DataFrame:
         sitemap.select(F.lit("sitemap").alias("src_table"), F.col("sitemap_id").alias("row_id"), "site_id", F.col("lastmod").alias("written"), F.col("ingested_at").alias("arrived")),
         event_items.select(F.lit("event_items").alias("src_table"), F.col("event_id").alias("row_id"), "site_id", F.col("event_date").alias("written"), F.col("crawled_at").alias("arrived")),
     ]
-    return parse_moment(reduce(DataFrame.unionByName, parts), "written")
+    return parse_moment(spread(reduce(DataFrame.unionByName, parts)), "written")
 
 
 def site_zones(stamps: DataFrame, site_config: DataFrame, candidates: tuple[str, ...] = CANDIDATES) -> DataFrame:

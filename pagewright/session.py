@@ -47,6 +47,16 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` in a partition per core at least, for work that is heavy on each row.
+
+    A Parquet file of one row group is one partition, however many cores wait; larger tables have more
+    partitions than cores and stay as they are, without a shuffle.
+    """
+    wanted = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A new folder that all executors share: under ``spark.checkpoint.dir``, else our own as for checkpoints."""
     base = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-", dir="/tmp")
