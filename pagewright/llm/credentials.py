@@ -14,6 +14,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import spread
+
 #: Most words of the dictionary; the most widespread ones stay.
 DICTIONARY_SIZE = 20_000
 #: Files that a word must occur in.
@@ -265,7 +267,7 @@ def find(files: DataFrame) -> DataFrame:
             rows = [(i, no, text) for i, body, lang in zip(batch["file_id"], batch["body"], batch["lang"]) for no, text in secrets_of(body, lang, words.value)]
             yield pd.DataFrame(rows, columns=["file_id", "line_no", "secret_text"])
 
-    source = files.where("body IS NOT NULL").select("file_id", "body", _language(files).alias("lang"))
+    source = spread(files.where("body IS NOT NULL").select("file_id", "body", _language(files).alias("lang")))
     return source.mapInPandas(scan, "file_id bigint, line_no int, secret_text string").distinct()
 
 
@@ -289,4 +291,4 @@ def redact(files: DataFrame, mark: str = "REDACTED") -> DataFrame:
                 rows.append((i, body, len(found)))
             yield pd.DataFrame(rows, columns=["file_id", "body", "n_secrets"])
 
-    return files.select("file_id", "body", _language(files).alias("lang")).mapInPandas(scan, "file_id bigint, body string, n_secrets int")
+    return spread(files.select("file_id", "body", _language(files).alias("lang"))).mapInPandas(scan, "file_id bigint, body string, n_secrets int")

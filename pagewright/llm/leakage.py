@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import spread
 from .wordhash import chunks, shingles, sliding_min, word_hashes, words_of
 
 #: Consecutive words that make a leak.
@@ -131,7 +132,7 @@ def leaks(documents: DataFrame, items: DataFrame, index_chars: int = INDEX_CHARS
     row, equal items and documents one under each id; an empty table on either side gives none. A text of
     any length is searched whole. Further columns are ignored.
     """
-    docs = documents.where("text IS NOT NULL").select("doc_id", "text")
+    docs = spread(documents.where("text IS NOT NULL").select("doc_id", "text"))
     held_out = items.where("text IS NOT NULL").select("item_id", "text").dropDuplicates()
     size = held_out.agg(F.sum(F.length("text")).alias("n")).first()["n"] or 0
     found = _by_index(docs, held_out.toPandas()) if size <= index_chars else _by_join(docs, held_out)

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import folded
+from ..session import spread
 
 # Frequent words without diacritics, by language.
 WORDS = {
@@ -151,7 +152,7 @@ def judged(pairs: DataFrame, default_language: str = "cs") -> DataFrame:
     bare_q = F.trim(F.regexp_replace(F.coalesce("question", F.lit("")), ROLE, ""))
     bare_a = F.regexp_replace(F.col("answer"), ROLE, "")
     spoken = F.regexp_replace(bare_a, r"„[^“”\"]*[“”\"]|\"[^\"\n]*\"|“[^”\n]*”|»[^«\n]*«|https?://\S+|\]\([^)]*\)", " ")
-    t = pairs.select("pair_id", "answer", bare_q.alias("q"), bare_a.alias("a"), spoken.alias("spoken"))
+    t = spread(pairs.select("pair_id", "question", "answer")).select("pair_id", "answer", bare_q.alias("q"), bare_a.alias("a"), spoken.alias("spoken"))
     t = t.withColumns({"ql": language(F.col("q")), "al": language(F.col("spoken"))})
     t = t.select("pair_id", "answer", "a", F.inline(F.array(F.struct(folded("q").alias("qw"), folded("a").alias("aw"), F.col("ql"), F.col("al")))))
     asked = reduce(lambda c, kv: c | ((F.col("al") == kv[0]) & F.col("qw").rlike(kv[1])), REQUESTS.items(), F.lit(False))

@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import spread
+
 #: Score from which on a span is kept.
 ACCEPTED = 1.0
 ORDER = ("email", "id_number", "phone", "address", "person")
@@ -316,7 +318,7 @@ def find(documents: DataFrame) -> DataFrame:
                     texts.append(piece)
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(kinds, pa.string()), pa.array(texts, pa.string())], ["doc_id", "pii_type", "pii_text"])
 
-    source = documents.where("text IS NOT NULL").select("doc_id", "text")
+    source = spread(documents.where("text IS NOT NULL").select("doc_id", "text"))
     return source.mapInArrow(scan, "doc_id bigint, pii_type string, pii_text string").distinct()
 
 
@@ -336,7 +338,7 @@ def masked(documents: DataFrame) -> DataFrame:
                 counts.append(len(found))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string()), pa.array(counts, pa.int32())], ["doc_id", "text", "n_pii"])
 
-    return documents.select("doc_id", "text").mapInArrow(scan, "doc_id bigint, text string, n_pii int")
+    return spread(documents.select("doc_id", "text")).mapInArrow(scan, "doc_id bigint, text string, n_pii int")
 
 
 def counts(documents: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.sites import site_key
+from ..session import checkpointed, spread
 
 #: Distinct urls of a site from which on a line is repeated too much.
 MIN_URLS = 10
@@ -35,7 +36,8 @@ def lines_of(pages: DataFrame, page_id: str = "page_id", url: str = "url", base_
     ``key`` is a struct of two hashes of the normalised line. Lines of HTML tags alone and lines of less
     than ``MIN_LETTERS`` letters are left out; a NULL content has no lines, a NULL url counts as one page.
     """
-    split = pages.select(F.col(page_id).alias("page_id"), site_key(F.col(base_url)).alias("site"), F.coalesce(F.col(url), F.lit("")).alias("url"), F.posexplode(F.split(F.col(content), "\n", -1)).alias("pos", "line"))
+    used = spread(pages.where(F.col(content).isNotNull()).select(page_id, base_url, url, content))
+    split = used.select(F.col(page_id).alias("page_id"), site_key(F.col(base_url)).alias("site"), F.coalesce(F.col(url), F.lit("")).alias("url"), F.posexplode(F.split(F.col(content), "\n", -1)).alias("pos", "line"))
     tagless = F.trim(F.regexp_replace("line", r"<[^<>]*>", ""))
     kept = split.where((F.length("line") >= MIN_LETTERS) & ~(F.contains("line", F.lit("<")) & (tagless == "")))
     norm = kept.select("page_id", (F.col("pos") + 1).alias("line_no"), "site", "url", "line", F.inline(F.array(F.struct(normalised(F.col("line")).alias("norm")))))
@@ -50,7 +52,13 @@ def _g2(k1: Column, n1: Column, k2: Column, n2: Column) -> Column:
     return F.when((k1 / n1 > k2 / F.greatest(n2, F.lit(1.0))) & (p < 1), 2 * (part(k1, n1) + part(k2, n2))).otherwise(0.0)
 
 
-def line_statistics(lines: DataFrame) -> DataFrame:
+def site_sizes(pages: DataFrame, url: str = "url", base_url: str = "base_url") -> DataFrame:
+    """``site, n_site``: distinct urls of each site."""
+    urls = pages.select(site_key(F.col(base_url)).alias("site"), F.coalesce(F.col(url), F.lit("")).alias("url")).distinct()
+    return urls.groupBy("site").agg(F.count(F.lit(1)).cast("double").alias("n_site"))
+
+
+def line_statistics(lines: DataFrame, sites: DataFrame) -> DataFrame:
     """Per site and line: ``n_urls``, ``n_outside`` and the larger log-likelihood ratio ``g2``.
 
     Distinct urls are folded in each task before they are shuffled, so a line on every page of a site with a
@@ -60,7 +68,6 @@ def line_statistics(lines: DataFrame) -> DataFrame:
     urls = lines.select("site", "key", "url").distinct()
     within = urls.groupBy("site", "key").agg(F.count(F.lit(1)).cast("double").alias("n_urls"))
     everywhere = within.groupBy("key").agg(F.sum("n_urls").alias("n_all"))
-    sites = lines.select("site", "url").distinct().groupBy("site").agg(F.count(F.lit(1)).cast("double").alias("n_site"))
     whole = sites.agg(F.sum("n_site").alias("n_total"))
     # the total is a single row
     t = within.join(everywhere, "key").join(sites.join(F.broadcast(whole), how="cross"), "site")
@@ -97,7 +104,9 @@ def repeated_lines(pages: DataFrame, min_urls: int = MIN_URLS, rate: float = FAL
     the copies: a line on each page of a huge site isn't one reducer's work.
     """
     lines = lines_of(pages)
-    found = significant(line_statistics(lines), rate).where(F.col("n_urls") >= min_urls).select("site", "key")
+    # read twice, for the threshold and for the lines beyond it
+    stats = checkpointed(line_statistics(lines, site_sizes(pages)))
+    found = significant(stats, rate).where(F.col("n_urls") >= min_urls).select("site", "key")
     copies = found.select("site", "key", F.explode(F.array(*[F.lit(i) for i in range(SALTS)])).alias("salt"))
     spread = lines.select("page_id", "line_no", "site", "key", F.pmod(F.hash("page_id"), F.lit(SALTS)).alias("salt"))
     return spread.join(copies, ["site", "key", "salt"], "left_semi").select("page_id", "line_no").distinct()

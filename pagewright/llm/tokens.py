@@ -10,6 +10,8 @@ from pathlib import Path
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from ..session import spread
+
 #: A vocabulary as ranks; a path is a parameter everywhere, the files stay where they are installed.
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Fixed value: how this vocabulary splits text before merging.
@@ -31,7 +33,7 @@ def with_token_counts(texts: DataFrame, text: str = "text", vocabulary: str = VO
     The text ends in the Python worker that counts it: only its count goes on.
     """
     kept = texts.drop(text)
-    ordered = texts.select(*kept.columns, text)
+    ordered = spread(texts.select(*kept.columns, text))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(vocabulary).encode_ordinary
