@@ -19,9 +19,10 @@ TOLERANCE_MINUTES = 5
 def zone_violations(stamps: DataFrame, source: str, arrived: str, candidates: tuple[str, ...] = CANDIDATES) -> DataFrame:
     """Per source and candidate history, how many stamps speak against it.
 
-    ``stamps`` has ``wall`` and ``offset_min`` (see ``parse_moment``) and an arrival time. Two kinds of
+    ``stamps`` has ``written``, ``wall`` and ``offset_min`` (see ``parse_moment``) and an arrival time. Two kinds of
     stamps count: one without a zone which the candidate puts after its own arrival, and one with an
-    offset other than the candidate's at that moment, neutral UTC stamps excepted. One pass and one
+    offset other than the candidate's at that moment. ``Z``, ``UTC`` and bare numbers are neutral, as machines
+    write them anywhere; an offset of ``+00:00`` in the column ``written`` is not. One pass and one
     pre-aggregated shuffle on the source, whatever the number of candidates; a source with a third of all
     rows is folded to one row per task first.
 
@@ -35,7 +36,8 @@ def zone_violations(stamps: DataFrame, source: str, arrived: str, candidates: tu
         local = F.convert_timezone(F.lit(zone), F.lit("UTC"), F.col("wall"))
         future = F.col("offset_min").isNull() & (local > limit)
         own = shift_minutes(F.col("wall"), -F.col("offset_min"))
-        differs = (F.col("offset_min") != 0) & (local != own)
+        stated = (F.col("offset_min") != 0) | F.col("written").rlike(r"[+-]00:?00\s*$")
+        differs = stated & (local != own)
         counts += [F.count_if(F.coalesce(future, F.lit(False))).alias(f"f{i}"), F.count_if(F.coalesce(differs, F.lit(False))).alias(f"o{i}")]
     folded = usable.groupBy(F.col(source).alias("source")).agg(*counts)
     rows = F.array(*[F.struct(F.lit(z).alias("zone"), F.lit(i).alias("rank"), F.col(f"f{i}").alias("n_future"), F.col(f"o{i}").alias("n_offset")) for i, z in enumerate(candidates)])

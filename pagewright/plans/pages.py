@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.sites import site_key
 from ..operators import pages
+from ..session import spread
 from ..sources.tables import table
 
 
@@ -24,7 +25,7 @@ def page_inner_links(spark: SparkSession, d: str) -> DataFrame:
 def page_markdown(spark: SparkSession, d: str) -> DataFrame:
     """HTML pages as Markdown without what their site's selectors name."""
     sites = table(spark, d, "site_config").select(site_key(F.col("base_url")).alias("site"), "remove_selectors")
-    p = table(spark, d, "scraped_pages").where("content IS NOT NULL").withColumn("site", site_key(F.col("base_url")))
+    p = spread(table(spark, d, "scraped_pages").where("content IS NOT NULL").select("page_id", "base_url", "content")).withColumn("site", site_key(F.col("base_url")))
     joined = p.join(sites, "site", "left")
     return pages.as_markdown(joined, F.col("remove_selectors"))
 

@@ -51,8 +51,11 @@ def spread(df: DataFrame) -> DataFrame:
     """``df`` in a partition per core at least, for work that is heavy on each row.
 
     A Parquet file of one row group is one partition, however many cores wait; larger tables have more
-    partitions than cores and stay as they are, without a shuffle.
+    partitions than cores and stay as they are, without a shuffle. Only plain scans are looked at: the
+    partitions of a plan with shuffles are known no sooner than it has run.
     """
+    if "AdaptiveSparkPlan" in df._jdf.queryExecution().executedPlan().toString():
+        return df
     wanted = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
 

@@ -68,7 +68,7 @@ def _stamps(spark, zone):
     return parse_moment(df, "written")
 
 
-@pytest.mark.parametrize("zone", ["Europe/London", "Europe/Prague", "Europe/Bucharest"])
+@pytest.mark.parametrize("zone", ["UTC", "Europe/London", "Europe/Prague", "Europe/Bucharest"])
 def test_estimated_zone(spark, zone):
     assert [(r.source, r.zone) for r in zones.estimate_zones(_stamps(spark, zone), "site_id", "arrived").collect()] == [(1, zone)]
 
