@@ -55,6 +55,7 @@ SHAPES = {
     "iso_days": (r"^(\d{4})-(\d{1,2})-(\d{1,2})(?: ?[–—/] ?| - )\d{4}-\d{1,2}-\d{1,2}$", (1, 2, 3, 0, 0, 0, 0, 0)),
 }
 WEEKDAY = r"^(?:pondělí|úterý|středa|čtvrtek|pátek|sobota|neděle|po|út|st|čt|pá|so|ne|v|ve|dne)\.?,? (?=\d)"
+LOWER_SIGNS = r"^\d{4}-?\d{2}-?\d{2}t\d|\d ?(?:z|utc|gmt|cet|cest)$"
 CANONICAL = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}Z$"
 #: A number of so many digits or more counts milliseconds.
 MILLISECOND_DIGITS = 12
@@ -95,6 +96,8 @@ def parse_moment(df: DataFrame, value: str, wall: str = "wall", offset: str = "o
     # each step is a projection of its own, so that no regular expression runs twice
     text = F.trim(F.regexp_replace(F.col(value), r"[\s\u00a0\u200b\ufeff]+", " "))
     t = df.withColumn("__t", F.regexp_replace(text, "(?iu)" + WEEKDAY, ""))
+    # signs of ISO forms and zones in lower case
+    t = t.withColumn("__t", F.when(F.col("__t").rlike(LOWER_SIGNS), F.upper("__t")).otherwise(F.col("__t")))
     t = t.withColumn("__f", F.split(_fields(F.col("__t")), r"\|", -1)).drop("__t")
     part = lambda i: F.nullif(F.get("__f", F.lit(i)), F.lit(""))
     names = ("__y", "__mo", "__d", "__h", "__mi", "__s", "__z", "__half")

@@ -28,6 +28,8 @@ PRAGUE = [
     ("1624052520.590", "2021-06-18T21:42:00Z"),
     ("1753549476813", "2025-07-26T17:04:36Z"),
     ("  2025-04-09T14:49:03Z\n", "2025-04-09T14:49:03Z"),
+    ("2024-03-30t05:27:00z", "2024-03-30T05:27:00Z"),
+    ("2024-03-30 05:27 utc", "2024-03-30T05:27:00Z"),
     ("17.-18. 4. 2024", "2024-04-16T22:00:00Z"),
     ("30. 4. – 2. 5. 2024", "2024-04-29T22:00:00Z"),
     ("8.6.23", "2023-06-07T22:00:00Z"),
