@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Longest attribute value that the knowledge table takes.
@@ -55,9 +55,9 @@ def newest_versions(files: DataFrame, name: str) -> DataFrame:
     """``name, keep``: the highest ``_V<n>`` of each base name is kept, and the one without a version."""
     number = F.regexp_extract(F.col(name), r"(?i)_V(\d+)$", 1).try_cast("int")
     base = F.regexp_replace(F.col(name), r"(?i)_V\d+$", "")
-    w = Window.partitionBy("__base")
     t = files.select(F.col(name), number.alias("__n"), base.alias("__base"))
-    return t.select(name, (F.col("__n").isNull() | (F.col("__n") == F.max("__n").over(w))).alias("keep"))
+    highest = t.groupBy("__base").agg(F.max("__n").alias("__highest"))
+    return t.join(highest, "__base").select(name, (F.col("__n").isNull() | (F.col("__n") == F.col("__highest"))).alias("keep"))
 
 
 def attributes(columns: list[str]) -> Column:

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 #: A pair longer than this on either side is left out of question collections.
 LONGEST_SIDE = 1000
+#: Positions of a transcript that are looked at together.
+STRETCH = 1000
 #: Pairs of one batch.
 BATCH = 100
 
@@ -25,11 +27,18 @@ def paired(rows: DataFrame) -> DataFrame:
     """``transcript_id, question_seq, answer_seq, question, answer``: each answer with the last question before it.
 
     A question that another one follows before any answer is dropped, an answer without an open question
-    too. Transcripts are short, so a window over one never grows with the data.
+    too. Messages are looked at in stretches of ``STRETCH`` positions with the last message before each, so a
+    transcript that holds a third of all messages is many tasks' work.
     """
-    w = Window.partitionBy("transcript_id").orderBy("seq", "pair_id")
-    marked = rows.withColumn("before", F.lag(F.struct("role", "content", "seq")).over(w))
-    hit = marked.where((F.col("role") == "BOT") & (F.col("before.role") == "HUMAN"))
+    stretch = F.floor(F.col("seq") / STRETCH)
+    message = F.struct("role", "content", "seq")
+    t = rows.withColumn("stretch", stretch)
+    lasts = t.groupBy("transcript_id", "stretch").agg(F.max_by(message, F.struct("seq", "pair_id")).alias("last"))
+    earlier = F.lag("last").over(Window.partitionBy("transcript_id").orderBy("stretch"))
+    carried = lasts.select("transcript_id", "stretch", earlier.alias("carried")).where("carried IS NOT NULL")
+    w = Window.partitionBy("transcript_id", "stretch").orderBy("seq", "pair_id")
+    marked = t.withColumn("before", F.lag(message).over(w)).join(carried, ["transcript_id", "stretch"], "left")
+    hit = marked.withColumn("before", F.coalesce("before", "carried")).where((F.col("role") == "BOT") & (F.col("before.role") == "HUMAN"))
     return hit.select("project", "transcript_id", F.col("before.seq").alias("question_seq"), F.col("seq").alias("answer_seq"), F.col("before.content").alias("question"), F.col("content").alias("answer"))
 
 
@@ -53,14 +62,27 @@ def category_report(pairs: DataFrame, categories: DataFrame, total_of: str = "n"
     return all_rows.join(F.broadcast(total), how="cross").select("category", "n", F.when(F.col("total") > 0, F.round(F.col("n") / F.col("total"), 6)).otherwise(0.0).alias("share"))
 
 
-def batches(rows: DataFrame, key: str, order: str, size: int = BATCH) -> DataFrame:
-    """``rows`` with ``batch``, numbered from 0 within each key; keys are independent, so there's no global sort."""
-    w = Window.partitionBy(key).orderBy(order)
-    return rows.withColumn("batch", F.floor((F.row_number().over(w) - 1) / size).cast("int"))
+def batches(rows: DataFrame, key: str, order: str, size: int = BATCH, width: int = 10_000) -> DataFrame:
+    """``rows`` with ``batch``, numbered from 0 within each key by the whole number ``order``.
+
+    Numbers are counted in stretches of ``width`` and shifted by the sizes of the stretches before, so a key
+    with a third of all rows isn't one task's sort.
+    """
+    t = rows.withColumn("__stretch", F.floor(F.col(order) / width))
+    sizes = t.groupBy(key, "__stretch").agg(F.count(F.lit(1)).alias("__n"))
+    before = F.sum("__n").over(Window.partitionBy(key).orderBy("__stretch").rowsBetween(Window.unboundedPreceding, -1))
+    shifts = sizes.select(key, "__stretch", F.coalesce(before, F.lit(0)).alias("__shift"))
+    place = F.row_number().over(Window.partitionBy(key, "__stretch").orderBy(order)) - 1
+    numbered = t.withColumn("__place", place).join(shifts, [key, "__stretch"])
+    return numbered.withColumn("batch", F.floor((F.col("__shift") + F.col("__place")) / size).cast("int")).drop("__stretch", "__place", "__shift")
 
 
 def text_dump(rows: DataFrame) -> DataFrame:
-    """``transcript_id, n_messages, dump``: the messages of a transcript as one text, rules between them."""
+    """``transcript_id, part, n_messages, dump``: the messages of a transcript as text, rules between them.
+
+    A part holds ``STRETCH`` positions, so that no text grows with its transcript.
+    """
     line = F.concat(F.col("role"), F.lit(": "), F.col("content"))
     ordered = F.array_sort(F.collect_list(F.struct("seq", "pair_id", line.alias("line"))))
-    return rows.groupBy("transcript_id").agg(ordered.alias("m")).select("transcript_id", F.size("m").alias("n_messages"), F.array_join(F.transform("m", lambda x: x["line"]), "\n----------\n").alias("dump"))
+    parts = rows.groupBy("transcript_id", F.floor(F.col("seq") / STRETCH).alias("part")).agg(ordered.alias("m"))
+    return parts.select("transcript_id", "part", F.size("m").alias("n_messages"), F.array_join(F.transform("m", lambda x: x["line"]), "\n----------\n").alias("dump"))

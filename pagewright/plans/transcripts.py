@@ -66,7 +66,7 @@ SQL = {
     "transcript_messages": f"WITH {MESSAGES_SQL} SELECT project, role, count(*) AS n_messages, CAST(sum(length(content)) AS BIGINT) AS n_chars FROM m GROUP BY project, role",
     "transcript_pairs": f"""WITH {MESSAGES_SQL}, w AS (SELECT *, lag(role) OVER o AS r, lag(seq) OVER o AS s, lag(content) OVER o AS question, content AS answer FROM m WINDOW o AS (PARTITION BY transcript_id ORDER BY seq, pair_id))
 SELECT transcript_id, s AS question_seq, seq AS answer_seq, CAST(length(question) + length(answer) AS INTEGER) AS n_chars FROM w WHERE role = 'BOT' AND r = 'HUMAN' AND {USABLE_SQL}""",
-    "transcript_dump": f"WITH {MESSAGES_SQL} SELECT transcript_id, CAST(count(*) AS INTEGER) AS n_messages, string_agg(role || ': ' || content, chr(10) || '----------' || chr(10) ORDER BY seq, pair_id) AS dump FROM m GROUP BY transcript_id",
+    "transcript_dump": f"WITH {MESSAGES_SQL} SELECT transcript_id, seq // 1000 AS part, CAST(count(*) AS INTEGER) AS n_messages, string_agg(role || ': ' || content, chr(10) || '----------' || chr(10) ORDER BY seq, pair_id) AS dump FROM m GROUP BY transcript_id, part",
     "pair_keep_last": "SELECT max(pair_id) AS pair_id FROM faq_pairs GROUP BY question, answer",
     "questions_by_category": "WITH p AS (SELECT DISTINCT coalesce(category, 'Nezařazeno') AS category, question FROM faq_pairs WHERE question IS NOT NULL) SELECT category, count(*) AS n_questions, min(question) AS first_question, max(question) AS last_question FROM p GROUP BY category",
     "category_report": "WITH c AS (SELECT category FROM faq_pairs WHERE category IS NOT NULL UNION SELECT lower(trim(source, ' ')) FROM documents WHERE source IS NOT NULL), n AS (SELECT c.category, count(p.category) AS n FROM c LEFT JOIN faq_pairs p ON p.category = c.category GROUP BY c.category) SELECT category, n, CAST(round(n / sum(n) OVER (), 6) AS DOUBLE) AS share FROM n",

@@ -103,6 +103,15 @@ def test_pairing(spark):
     rows = [("p", "t", 0, 1, "HUMAN", "q1"), ("p", "t", 0, 2, "HUMAN", "q2"), ("p", "t", 0, 3, "BOT", "a2"), ("p", "t", 0, 4, "BOT", "a3"), ("p", "s", 0, 1, "BOT", "a0")]
     df = spark.createDataFrame(rows, "project string, transcript_id string, pair_id int, seq int, role string, content string")
     assert [(r.question, r.answer) for r in transcripts.paired(df).collect()] == [("q2", "a2")]
+    # a question and its answer in different stretches, with an empty one between
+    far = spark.createDataFrame([("p", "t", 0, 10, "HUMAN", "q"), ("p", "t", 0, 2 * transcripts.STRETCH + 1, "BOT", "a"), ("p", "t", 0, 2 * transcripts.STRETCH + 2, "BOT", "b")], df.schema)
+    assert [(r.question, r.answer) for r in transcripts.paired(far).collect()] == [("q", "a")]
+
+
+def test_batches_across_stretches(spark):
+    df = spark.createDataFrame([("k", i) for i in range(25)] + [("l", 7)], "k string, i bigint")
+    got = {(r.k, r.i): r.batch for r in transcripts.batches(df, "k", "i", 10, 7).collect()}
+    assert got == {("k", i): i // 10 for i in range(25)} | {("l", 7): 0}
 
 
 def test_structure_and_budgets(spark):
