@@ -197,7 +197,7 @@ def _addresses(text: str) -> Iterator[tuple[int, int, float]]:
             at += len(text[at:e]) - len(text[at:e].lstrip("  \t"))
             before, s = text[max(0, at - CONTEXT) : at].rsplit("\n", 1)[-1], at
             words = words[1:]
-        if not words or NOT_ADDRESS.search(before) or (words[-1].rstrip(".") in _SENTENCE_WORDS | {"Usnesení", "OP", "IČO", "SZ", "Tel"} and len(words) == 1):
+        if not words or NOT_ADDRESS.search(before) or words[-1].rstrip(".") in {"Usnesení", "Zákon", "OP", "IČO", "SZ", "Tel"} or (words[-1].rstrip(".") in _SENTENCE_WORDS and len(words) == 1):
             continue
         score = 0.4
         if ADDRESS_HINT.search(before):

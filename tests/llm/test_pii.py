@@ -18,6 +18,7 @@ CASES = [
     ("Bydliště: ul. Pod Hvomysem 16a, 744 41 Lhota", {("address", "Pod Hvomysem 16a")}),
     ("Dům na adrese Lhotecká č. p. 719/69 projde kontrolou.", {("address", "Lhotecká č. p. 719/69")}),
     ("Trvale bytem nám. Rokdnorů 12.", {("address", "nám. Rokdnorů 12")}),
+    ("Odpověď zašlete na adresu Lhota Usnesení č. 399/2021 schvaluje záměr.", set()),
     ("Ulice Petra Novotného v městské čtvrti bude jednosměrná, úprava náměstí začne 21. 1. 2024.", set()),
     ("Rozhodnutí podepsal(a) Ing. Radovoj Ostrukol, Ph.D., vedoucí.", {("person", "Radovoj Ostrukol")}),
     ("Zapsal(a): OSTRUKOL Radovoj", {("person", "OSTRUKOL Radovoj")}),
