@@ -58,8 +58,27 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def _pieces(text: str):
+    """A long text cut at blanks, so that no piece needs powers beyond its own length."""
+    start = 0
+    while len(text) - start > CHUNK_CHARS:
+        gap = re.compile(r"\s").search(text, start + CHUNK_CHARS)
+        if gap is None:
+            break
+        yield text[start : gap.start()]
+        start = gap.end()
+    yield text[start:]
+
+
 def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words in order, and the index of each word's text."""
+    if all(len(t) <= CHUNK_CHARS for t in texts):
+        return _word_hashes(texts)
+    parts = [(_word_hashes([piece])[0], i) for i, t in enumerate(texts) for piece in _pieces(t)]
+    return np.concatenate([h for h, _ in parts]), np.repeat(np.array([i for _, i in parts], np.int64), [len(h) for h, _ in parts])
+
+
+def _word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     joined = "\n".join(texts)
     codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
     kind = _table()[np.minimum(codes, 0xFFFF)]

@@ -49,6 +49,14 @@ def test_word_hashes_agree_with_words(texts):
     assert len(set(seen.values())) == len(seen)
 
 
+def test_long_texts_are_hashed_in_pieces(monkeypatch):
+    text = "Žluťoučký kůň " * 50 + "x" * 40 + " ódy " * 30
+    whole = word_hashes(["a b", text])
+    monkeypatch.setattr("pagewright.llm.wordhash.CHUNK_CHARS", 37)
+    pieces = word_hashes(["a b", text])
+    assert whole[0].tolist() == pieces[0].tolist() and whole[1].tolist() == pieces[1].tolist()
+
+
 @given(st.lists(st.integers(0, 9), max_size=30), st.integers(1, 9))
 def test_sliding_min(values, width):
     got = sliding_min(np.array(values, np.uint64), width).tolist()
