@@ -39,7 +39,7 @@ PLACEHOLDER = re.compile(r"(?i)^(?:|null|none|nil|true|false|undefined|todo|tbd|
 HASH = re.compile(r"^(?:(?:sha\d+|md5|sha)[:\-].*|[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{56}|[0-9a-f]{64}|[0-9a-f]{96}|[0-9a-f]{128}|[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}|(?:vs|file|run|job|msg|thread|asst|req|build|cache|img|doc|page|chunk)[_-][\w-]+)$")
 
 _HINT = re.compile(rf"(?i){PASSWORD}|{KEY}|{SERVICE}|://[^/\s:@]*:[^\s@]+@|\bbasic\s|PRIVATE KEY-----|\bauth\b|\s-[pu]|/user:|secret|přihlášení|prihlaseni|login|pass|{KNOWN}")
-_NAME = r"[\w.\-ěščřžýáíéúůňťďó]*"
+_NAME = r"(?<![\w.\-])[\w.\-]{0,80}"
 _Q = r"""(?P<q>["'`])(?P<v>(?:(?!(?P=q)).)*)(?P=q)"""
 #: name = "value", name: 'value', "name": "value", name["x"] = "value", f(name="value"), getenv("name", "value")
 _ASSIGN_QUOTED = re.compile(rf"""(?P<name>{_NAME})["'`]?\]?\)?\s*(?::\s*\w+\s*=|=>|:=|==?|:|,)\s*(?P<open>\(?)\s*[rbfu]?{_Q}""")
@@ -49,7 +49,7 @@ _SETX = re.compile(r"""(?i)\bsetx\s+(?P<name>\w+)\s+(?P<q>["']?)(?P<v>[^"'\s]+)(
 _PARAMETER = re.compile(rf"""(?i)[?&](?P<name>[\w\-]*(?:key|token|secret|{PASSWORD})[\w\-]*)=(?P<v>[^&\s"'`#]+)""")
 _OPTION = re.compile(rf"""(?i)--(?P<name>[\w\-]*(?:key|token|secret|{PASSWORD}))[=\s]+["']?(?P<v>[^\s"'`]+)""")
 _SCHEME = re.compile(r"""(?i)\b(?P<scheme>bearer|basic|token)\s+(?:\$\{\s*)?["'`]?(?P<v>[A-Za-z0-9+/=._~\-]{8,})""")
-_URL = re.compile(r"""(?i)\b[a-z][a-z0-9+.\-]*://(?P<user>[^\s/:@"'`]*):(?P<v>[^\s/@"'`]+)@(?=[\w\[])""")
+_URL = re.compile(r"""(?i)\b[a-z][a-z0-9+.\-]{0,30}://(?P<user>[^\s/:@"'`]*):(?P<v>[^\s/@"'`]+)@(?=[\w\[])""")
 _CONNECTION = re.compile(r"""(?i)(?:^|[;\s"'])(?:pwd|password)\s*=\s*(?P<v>[^;"'\s]+)\s*(?=;|["']|$)""")
 _COMMANDS = (
     re.compile(r"""(?i)\bcurl\b.*?\s(?:-u|--user)\s*["']?[^\s:"']+:(?P<v>[^\s"']+)"""),

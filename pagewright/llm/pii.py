@@ -8,6 +8,7 @@ score. Spans that reach ``ACCEPTED`` are kept; of two that overlap, the one of t
 from __future__ import annotations
 
 import re
+from bisect import bisect
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -88,7 +89,7 @@ _BIRTH_HINT = re.compile(r"(?i)r\. ?č|rodn|RČ|nar\.|birth|geburt")
 _OTHER_NUMBER = re.compile(rf"(?i)(?:účet|účtu|účtem|konto|IBAN|IČO?|IČ|DIČ|zpráv\w*|spis\w*|značk\w*|SZ|č\.{S}?j|parc|smlouv\w*|contract|faktur\w*|variabilní|VS|souřadnic\w*|ID|datov\w+ schránk\w*|no|objednávk\w*)\.?{S}*(?:č\.?|číslo|no\.?)?{S}*:?{S}*$")
 _HOUSE = rf"(?:č(?:\.{S}?p\.|p\.|\.|íslo){S}?)?\d{{1,4}}{S}?[a-z]?(?:/\d{{1,4}}[a-z]?)?"
 _SHORT = rf"(?:[{UP}]|nám|Nám|tř|nábř|sv|Sv|gen|Gen|kpt|Kpt|dr|Dr|arm|mjr|plk|prof|Prof)\."
-_ADDRESS = re.compile(rf"(?<![\w.])((?:(?:{_SHORT}|náměstí|třída|nábřeží|[{UP}][{LOW}]*){S}?(?<=[ \.]))*?(?:[{UP}][{LOW}]+|(?<= )(?:třída|ulice|náměstí|nábřeží)){S})((?:č(?:\.{S}?p\.|p\.|\.|íslo){S}?)?\d{{1,4}}[a-z]?(?:/\d{{1,4}}[a-z]?)?)(?![\w]|[.,:]\d|-\d|{S}?(?:%|Kč|EUR|ks|let|dní|dnů|hod|míst|m\b|km|metr|ročně|osob|million|crowns|Kronen)|{S}\d{{3}}\b)")
+_ADDRESS = re.compile(rf"(?<![\w.])((?:(?:{_SHORT}|náměstí|třída|nábřeží|[{UP}][{LOW}]*){S}?(?<=[ \.])){{0,4}}?(?:[{UP}][{LOW}]+|(?<= )(?:třída|ulice|náměstí|nábřeží)){S})((?:č(?:\.{S}?p\.|p\.|\.|íslo){S}?)?\d{{1,4}}[a-z]?(?:/\d{{1,4}}[a-z]?)?)(?![\w]|[.,:]\d|-\d|{S}?(?:%|Kč|EUR|ks|let|dní|dnů|hod|míst|m\b|km|metr|ročně|osob|million|crowns|Kronen)|{S}\d{{3}}\b)")
 _POSTCODE = re.compile(rf"^,{S}*\d{{3}}{S}?\d{{2}}{S}+[{UP}]")
 _CAPITAL = re.compile(rf"[{UP}][{UP}{LOW}]*(?:-[{UP}][{UP}{LOW}]+)?")
 _GAP = re.compile(rf"^{S}+$")
@@ -137,7 +138,7 @@ def _emails(text: str) -> Iterator[tuple[int, int, float]]:
             continue
         # the address lies around its sign; nothing else of the text is looked at
         low = max(done, sign - 80)
-        while low and low > done and not text[low].isspace():
+        while low > max(done, sign - 160) and not text[low].isspace():
             low -= 1
         for m in _EMAIL.finditer(text, low, sign + 160):
             s, e = m.span()
@@ -297,9 +298,11 @@ def spans(text: str) -> list[tuple[int, int, str]]:
             found.append((ORDER.index("person"), s, e, "person"))
     kept: list[tuple[int, int, str]] = []
     for _, s, e, kind in sorted(found):
-        if all(e <= a or b <= s for a, b, _ in kept):
-            kept.append((s, e, kind))
-    return sorted(kept)
+        # spans kept so far are in order and apart, so only the neighbours can overlap
+        i = bisect(kept, (s, e, kind))
+        if (i == 0 or kept[i - 1][1] <= s) and (i == len(kept) or e <= kept[i][0]):
+            kept.insert(i, (s, e, kind))
+    return kept
 
 
 def find(documents: DataFrame) -> DataFrame:

@@ -27,7 +27,8 @@ SALTS = 8
 def normalised(line: Column) -> Column:
     """Lower case, digit runs as ``0``, single blanks, nothing but letters and digits at both ends."""
     low = F.regexp_replace(F.regexp_replace(F.lower(line), r"\p{Nd}+", "0"), r"(?U)\s+", " ")
-    return F.regexp_replace(low, r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", "")
+    # the look behind lets a run of signs be tried once, not from each of its characters
+    return F.regexp_replace(low, r"^[^\p{L}\p{N}]+|(?<![^\p{L}\p{N}])[^\p{L}\p{N}]++$", "")
 
 
 def lines_of(pages: DataFrame, page_id: str = "page_id", url: str = "url", base_url: str = "base_url", content: str = "content") -> DataFrame:
