@@ -54,7 +54,7 @@ def cleaned(text: Column) -> Column:
 def budgets(total: Column, reserve: int = 100) -> Column:
     """Tokens of a header's parts: page, file and overlap summaries and the question, from what is left at each step."""
     avail = total - reserve
-    page = F.least(F.expr("0") + F.floor(avail / 4), F.lit(300))
+    page = F.least(F.floor(avail / 4), F.lit(300))
     rest = avail - page
     file = F.least(F.floor(rest / 3), F.lit(400))
     rest2 = rest - file

@@ -62,5 +62,5 @@ def newest_versions(files: DataFrame, name: str) -> DataFrame:
 
 def attributes(columns: list[str]) -> Column:
     """A map of the columns' texts, cut at what the knowledge table takes; NULL values are left out."""
-    full = F.map_from_entries(F.array_compact(F.array(*[F.when(F.col(c).isNotNull(), F.struct(F.lit(c).alias("k"), F.left(F.col(c).cast("string"), F.lit(ATTRIBUTE_CHARS)).alias("v"))) for c in columns])))
-    return full
+    entries = [F.when(F.col(c).isNotNull(), F.struct(F.lit(c).alias("k"), F.left(F.col(c).cast("string"), F.lit(ATTRIBUTE_CHARS)).alias("v"))) for c in columns]
+    return F.map_from_entries(F.array_compact(F.array(*entries)))
