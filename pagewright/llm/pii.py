@@ -87,7 +87,6 @@ _PHONE_HINT = re.compile(r"(?i)tel|mobil|fax|volejte|volat|zavolejte|telefon|na
 _CARD_HINT = re.compile(r"(?i)(?:\bOP\b|občansk\w+ průkaz\w*|č\. ?OP|číslo dokladu|cestovní\w* pas\w*|pasu|identity card|ausweis|občiansk\w+ preukaz\w*|doklad\w* (?:totožnosti)?)[^\n]{0,24}$")
 _BIRTH_HINT = re.compile(r"(?i)r\. ?č|rodn|RČ|nar\.|birth|geburt")
 _OTHER_NUMBER = re.compile(rf"(?i)(?:účet|účtu|účtem|konto|IBAN|IČO?|IČ|DIČ|zpráv\w*|spis\w*|značk\w*|SZ|č\.{S}?j|parc|smlouv\w*|contract|faktur\w*|variabilní|VS|souřadnic\w*|ID|datov\w+ schránk\w*|no|objednávk\w*)\.?{S}*(?:č\.?|číslo|no\.?)?{S}*:?{S}*$")
-_HOUSE = rf"(?:č(?:\.{S}?p\.|p\.|\.|íslo){S}?)?\d{{1,4}}{S}?[a-z]?(?:/\d{{1,4}}[a-z]?)?"
 _SHORT = rf"(?:[{UP}]|nám|Nám|tř|nábř|sv|Sv|gen|Gen|kpt|Kpt|dr|Dr|arm|mjr|plk|prof|Prof)\."
 _ADDRESS = re.compile(rf"(?<![\w.])((?:(?:{_SHORT}|náměstí|třída|nábřeží|[{UP}][{LOW}]*){S}?(?<=[ \.])){{0,4}}?(?:[{UP}][{LOW}]+|(?<= )(?:třída|ulice|náměstí|nábřeží)){S})((?:č(?:\.{S}?p\.|p\.|\.|íslo){S}?)?\d{{1,4}}[a-z]?(?:/\d{{1,4}}[a-z]?)?)(?![\w]|[.,:]\d|-\d|{S}?(?:%|Kč|EUR|ks|let|dní|dnů|hod|míst|m\b|km|metr|ročně|osob|million|crowns|Kronen)|{S}\d{{3}}\b)")
 _POSTCODE = re.compile(rf"^,{S}*\d{{3}}{S}?\d{{2}}{S}+[{UP}]")
