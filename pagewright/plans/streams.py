@@ -14,8 +14,8 @@ def stream_latest_pages(spark: SparkSession, d: str) -> DataFrame:
     """The newest crawl of each page's URL, kept by a stream of crawls."""
     path = f"{d}/scraped_pages.parquet"
     s = jobs.read_stream(spark, path, table(spark, d, "scraped_pages").schema)
-    rows = s.where("url IS NOT NULL").select("url", "page_id", as_ntz(F.col("fetched_at")).alias("at"))
-    newest = jobs.latest_by_key(rows, ["url"], F.struct(-F.unix_seconds(F.col("at").cast("timestamp")), -F.col("page_id")))
+    rows = s.where("url IS NOT NULL").select("url", "page_id", F.unix_seconds("fetched_at").alias("at"))
+    newest = jobs.latest_by_key(rows, ["url"], F.struct(-F.col("at"), -F.col("page_id")))
     return newest.select("url", "page_id")
 
 
@@ -24,7 +24,7 @@ def stream_arrivals(spark: SparkSession, d: str) -> DataFrame:
     path = f"{d}/sitemap.parquet"
     s = jobs.read_stream(spark, path, table(spark, d, "sitemap").schema)
     counts = jobs.window_counts(s.select("site_id", "ingested_at"), "ingested_at", "site_id", "1 hour", "60 days")
-    return counts.select(F.date_format("start", "yyyy-MM-dd HH:mm").alias("hour"), "site_id", "n")
+    return counts.select(F.left(as_ntz(F.col("start")).cast("string"), F.lit(16)).alias("hour"), "site_id", "n")
 
 
 QUERIES = {"stream_latest_pages": stream_latest_pages, "stream_arrivals": stream_arrivals}
