@@ -45,6 +45,7 @@ NOT_ADDRESS = re.compile(r"(?i)(?:parc|zákon|usnesení|usneseni|vyhlášk|přep
 
 UP, LOW = "A-ZÁČĎÉĚÍĹĽŇÓÔŔŘŠŤÚŮÝŽÄÖÜ", "a-záčďéěíĺľňóôŕřšťúůýžäöüß"
 S = "[  \t]"
+_BLANKS = (" ", "\xa0", "\t")
 
 
 def _forms(name: str) -> set[str]:
@@ -75,7 +76,9 @@ _GIVEN_ANY = _GIVEN | {g.upper() for g in _GIVEN}
 
 _AT = rf"(?:@|{S}?[\[({{<]{S}?(?:at|AT|zavináč|zavinac|ZAVINÁČ|@){S}?[\])}}>]{S}?|{S}(?:zavináč|zavinac|ZAVINÁČ|AT){S})"
 _DOT = rf"(?:\.|{S}?[\[({{]{S}?(?:dot|DOT|tečka|tecka|bod|punkt|\.){S}?[\])}}]{S}?|{S}(?:tečka|tecka|dot|DOT|TEČKA){S})"
-_EMAIL = re.compile(rf"(?<![\w.+\-])[A-Za-z0-9](?:[A-Za-z0-9._+\-]|%)*{_AT}[A-Za-z0-9](?:[A-Za-z0-9\-]*)(?:{_DOT}[A-Za-z0-9][A-Za-z0-9\-]*)+")
+#: a sign with blanks around it counts where a dotted name follows, which prices ("41 ks @ 356 Kč") don't have
+_APART = rf"(?:{S}@{S}|@{S})(?=[A-Za-z0-9\-]+(?:{_DOT}[A-Za-z0-9\-]+)*{_DOT}[A-Za-z]{{2}})"
+_EMAIL = re.compile(rf"(?<![\w.+\-])[A-Za-z0-9](?:[A-Za-z0-9._+\-]|%)*(?:{_AT}|{_APART})[A-Za-z0-9](?:[A-Za-z0-9\-]*)(?:{_DOT}[A-Za-z0-9][A-Za-z0-9\-]*)+")
 _EMAIL_HINT = re.compile(r"(?<=\w) ?[\[({<] ?(?:at|AT|@|zavin|ZAVIN)|(?<=\w)[  ](?:zavin|ZAVIN|AT[  ])")
 _DISGUISES = ("(at", "[at", "{at", "<at", "( at", "[ at", "(AT", "[AT", "[@", "(@", "zavin", "ZAVIN", " AT ")
 #: runs of digits with the separators that numbers of people have
@@ -126,7 +129,10 @@ def birth_number(digits: str) -> bool:
 def _emails(text: str) -> Iterator[tuple[int, int, float]]:
     signs, at = [], text.find("@")
     while at >= 0:
-        if 0 < at < len(text) - 1 and text[at - 1].isalnum() and text[at + 1].isalnum():
+        left, right = text[max(0, at - 2) : at], text[at + 1 : at + 3]
+        # a single blank may stand on either side
+        left, right = left[:-1] if left[-1:] in _BLANKS else left, right[1:] if right[:1] in _BLANKS else right
+        if left[-1:].isalnum() and right[:1].isalnum():
             signs.append(at)
         at = text.find("@", at + 1)
     if any(x in text for x in _DISGUISES):

@@ -32,6 +32,11 @@ def test_cases(text, wanted):
     assert {(kind, text[s:e]) for s, e, kind in pii.spans(text)} == wanted
 
 
+def test_blanks_around_the_sign():
+    text = "Pište na petr.zhorad @ kamezvaloves.example nebo eva@\xa0obec-lhota.example, 20 ks @ 680 Kč, 3 ks @ 680.50 Kč, označte @lhotecka."
+    assert [text[s:e] for s, e, kind in pii.spans(text) if kind == "email"] == ["petr.zhorad @ kamezvaloves.example", "eva@\xa0obec-lhota.example"]
+
+
 def test_checksums():
     assert pii.birth_number("6809236148") and not pii.birth_number("6809236149") and not pii.birth_number("6813236148")
     assert pii.luhn("4111111111111111") and not pii.luhn("4111111111111112")
