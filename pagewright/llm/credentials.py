@@ -18,12 +18,11 @@ from ..session import spread
 
 #: Most words of the dictionary; the most widespread ones stay.
 DICTIONARY_SIZE = 20_000
-#: Files that a word must occur in.
+#: Files that a word must occur in: so many at least, and one of so many files; pieces of random text recur as files do.
 MIN_FILES = 3
+FILES_A_WORD = 800
 #: Unexplained characters of a key or token.
 RESIDUAL = 8
-#: Length from which a password is no longer segmented; a longer literal is one run of unexplained text.
-LONGEST_SEGMENTED = 400
 
 # Names of passwords, of keys and tokens, and of services whose settings hold keys.
 PASSWORD = r"(?:passwords?|passwd|passphrase|passcode|pwd|hesl[oau]|heslem|kennwort|passwort)"
@@ -70,6 +69,15 @@ _BEGIN, _END = re.compile(r"-----BEGIN (?:[A-Z0-9]+ )*PRIVATE KEY(?: BLOCK)?----
 _QUOTED_KEY = re.compile(r"""(["'`])((?:(?!\1).)*-----BEGIN (?:[A-Z0-9]+ )*PRIVATE KEY(?:(?!\1).)*-----END (?:(?!\1).)*)\1""")
 _IS_PASSWORD, _IS_KEY, _IS_SERVICE = re.compile(rf"(?i){PASSWORD}"), re.compile(rf"(?i){KEY}"), re.compile(rf"(?i)^{SERVICE}(?:_(?:api|key))?$")
 _ELSEWHERE = re.compile(rf"(?i)(?:^|[_\-.]|(?<=[a-z])(?=[A-Z])){NOT_ITSELF}$|(?:^|[_\-.]){PUBLIC}[_\-.]?key|max_?tokens|token_?count")
+#: Text whose letters make no words, for Spark: bodies of private keys, parts of URLs before the host, literals (but names before
+#: a colon), long runs with a digit; then values at credential names. Every repetition is possessive, so lines of any length are linear.
+_NO_WORDS = (
+    r"-----BEGIN [A-Z0-9 ]*+-----[^-]*+",
+    r"://[^\s/@:\"'`]*+:[^\s/@\"'`]++@",
+    r"\"[^\"\n]*+\"(?!\s*+:)|'[^'\n]*+'(?!\s*+:)|`[^`\n]*+`",
+    r"(?<![A-Za-z0-9+/])(?=[A-Za-z0-9+/]{16})[A-Za-z+/]*+[0-9][A-Za-z0-9+/]*+",
+)
+_VALUE_AT_NAME = r"(?i)((?:passw|passphrase|passcode|pwd|hesl|kennwort|key|secret|token|credential|bearer|basic|authorization|kl[ií]č|auth)[\w\-]{0,40}+)[\"'\]]{0,3}+[ \t]{0,3}+[=: ][ \t]{0,3}+(?=\S{0,80}\d)[^\s\"'`]++"
 #: Languages in which a bare word on the right of an assignment is a variable.
 _VARIABLES = {"py", "python", "js", "javascript", "ts", "typescript", "java", "go", "rb", "php", "json"}
 
@@ -80,8 +88,6 @@ def residual(literal: str, words: frozenset[str] | set[str]) -> tuple[int, int]:
     Viterbi over positions: a dictionary word costs 1, any other character 2, separators nothing; digit runs
     of up to four characters count as explained numbers.
     """
-    if len(literal) > LONGEST_SEGMENTED:
-        return len(literal), len(literal)
     low = literal.lower()
     n = len(low)
     cost, back = [0.0] + [1e9] * n, [0] * (n + 1)
@@ -243,10 +249,21 @@ def secrets_of(body: str, lang: str | None, words: frozenset[str]) -> list[tuple
 
 
 def dictionary(files: DataFrame, size: int = DICTIONARY_SIZE, min_files: int = MIN_FILES) -> frozenset[str]:
-    """Words of identifiers by the number of files that have them, at most ``size`` (the bound of what is broadcast)."""
-    words = F.array_distinct(F.split(F.lower(F.regexp_replace(F.col("body"), r"(?<=[a-z])(?=[A-Z])", " ")), "[^a-z]+"))
+    """Words of identifiers and remarks by the number of files that have them, at most ``size`` (the bound of what is broadcast).
+
+    Literals and values at credential names have no words, else pieces of keys would explain other keys; the number of
+    files asked for grows with the corpus from ``min_files`` on.
+    """
+    bodies = files.where("body IS NOT NULL")
+    text = F.col("body")
+    for pattern in _NO_WORDS:
+        text = F.regexp_replace(text, pattern, " ")
+    text = F.regexp_replace(text, _VALUE_AT_NAME, "$1 ")
+    words = F.array_distinct(F.split(F.lower(F.regexp_replace(text, r"(?<=[a-z])(?=[A-Z])", " ")), "[^a-z]+"))
     short = F.filter(words, lambda w: (F.length(w) >= 3) & (F.length(w) <= 24))
-    counted = files.where("body IS NOT NULL").select(F.explode(short).alias("word")).groupBy("word").count().where(F.col("count") >= min_files)
+    least = max(min_files, -(-bodies.count() // FILES_A_WORD))
+    # the outer form, as the other adds a filter that computes the array twice
+    counted = bodies.select(F.explode_outer(short).alias("word")).groupBy("word").count().where((F.col("count") >= least) & F.col("word").isNotNull())
     return frozenset(r["word"] for r in counted.orderBy(F.desc("count"), "word").limit(size).collect())
 
 

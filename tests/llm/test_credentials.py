@@ -51,3 +51,24 @@ def test_residual_is_what_no_word_explains():
     words = frozenset({"cache", "prefix"})
     assert credentials.residual("cache-prefix-12", words) == (0, 0)
     assert credentials.residual("cache_q7wz", words) == (4, 4)
+
+
+def test_pieces_of_keys_are_no_words(spark):
+    keys = ["zlFGonxbMCPKXTLt2KoBcF9l", "PBqSJIIbcOlVPbx7alM4td8v"]
+    bodies = [f'# remark\nload_cache("plain")\nAPI_KEY = "{keys[i % 2]}"\nSMS_TOKEN={keys[i % 2]}\nurl = amqp://u:{keys[i % 2]}@db.example\n' for i in range(8)]
+    df = spark.createDataFrame([(i, "a.env", None, b, None) for i, b in enumerate(bodies)], SCHEMA)
+    words = credentials.dictionary(df)
+    assert {"remark", "load", "cache", "api", "key", "sms", "token", "url"} <= words
+    assert all(credentials.residual(k, words)[0] >= credentials.RESIDUAL for k in keys) and "plain" not in words
+    assert {r.secret_text for r in credentials.find(df).collect()} == set(keys)
+
+
+def test_words_must_spread_with_the_corpus(spark):
+    rows = [(i, "a.py", None, "common" + (" seldom" if i < 3 else ""), None) for i in range(3 * credentials.FILES_A_WORD + 1)]
+    assert credentials.dictionary(spark.createDataFrame(rows[:100], SCHEMA)) == {"common", "seldom"}
+    assert credentials.dictionary(spark.createDataFrame(rows, SCHEMA)) == {"common"}
+
+
+def test_long_literals_are_segmented():
+    assert credentials.residual("cache-prefix-" * 100, {"cache", "prefix"}) == (0, 0)
+    assert credentials.residual("q7wz" * 200, {"cache"})[0] == 800
