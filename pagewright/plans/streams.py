@@ -20,10 +20,10 @@ def stream_latest_pages(spark: SparkSession, d: str) -> DataFrame:
 
 
 def stream_arrivals(spark: SparkSession, d: str) -> DataFrame:
-    """Sitemap rows by the hour of their arrival and site, counted by a windowed stream with late rows."""
+    """Sitemap rows by the hour of their arrival and site, counted by a windowed stream, however late a row is."""
     path = f"{d}/sitemap.parquet"
     s = jobs.read_stream(spark, path, table(spark, d, "sitemap").schema)
-    counts = jobs.window_counts(s.select("site_id", "ingested_at"), "ingested_at", "site_id", "1 hour", "60 days")
+    counts = jobs.window_counts(s.select("site_id", "ingested_at"), "ingested_at", "site_id", "1 hour")
     return counts.select(F.left(as_ntz(F.col("start")).cast("string"), F.lit(16)).alias("hour"), "site_id", "n")
 
 

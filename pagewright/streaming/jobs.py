@@ -45,9 +45,12 @@ def latest_by_key(stream: DataFrame, keys: list[str], rank: Column) -> DataFrame
     return run_to_table(stream, lambda state, batch: keep_best(batch if state is None else state.unionByName(batch), keys, rank))
 
 
-def window_counts(stream: DataFrame, ts: str, kind: str, width: str, lateness: str) -> DataFrame:
-    """Rows by window and kind, windows kept open for ``lateness``: the state holds open windows only."""
-    counted = stream.withWatermark(ts, lateness).groupBy(F.window(ts, width).alias("w"), kind).agg(F.count(F.lit(1)).alias("n"))
-    flat = counted.select(F.col("w.start").alias("start"), kind, "n")
-    rank = -F.col("n")
-    return run_to_table(flat, lambda state, batch: keep_best(batch if state is None else state.unionByName(batch), ["start", kind], rank), "update")
+def window_counts(stream: DataFrame, ts: str, kind: str, width: str) -> DataFrame:
+    """Rows by window and kind over all batches: each batch's counts are added to the table, so no row comes too late."""
+
+    def fold(state: DataFrame | None, batch: DataFrame) -> DataFrame:
+        counted = batch.groupBy(F.window(ts, width).alias("w"), kind).agg(F.count(F.lit(1)).alias("n")).select(F.col("w.start").alias("start"), kind, "n")
+        both = counted if state is None else state.unionByName(counted)
+        return both.groupBy("start", kind).agg(F.sum("n").alias("n"))
+
+    return run_to_table(stream, fold)
