@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import urls
 from ..functions.timestamps import as_ntz, is_canonical, parse_moment, to_utc, utc_text
-from ..operators import frontier
+from ..operators import frontier, zones
 from ..sources.tables import table
 
 #: Days from which on a page belongs to the current snapshot, and up to which to the previous one.
@@ -52,6 +52,22 @@ def frontier_keep_newest(spark: SparkSession, d: str) -> DataFrame:
     return frontier.keep_best(ranked, ["canonical"], rank).select("canonical", "sitemap_id", "moment")
 
 
+def _sitemap_in_utc(spark: SparkSession, d: str) -> DataFrame:
+    """Sitemap rows with the moment of any readable lastmod, by its own offset, else by its site's zone."""
+    s = table(spark, d, "sitemap")
+    stamps = zones.project_stamps(s, table(spark, d, "event_items"))
+    z = zones.site_zones(stamps, table(spark, d, "site_config"))
+    parsed = parse_moment(s.select("sitemap_id", "site_id", "url", "list_ord", "lastmod"), "lastmod")
+    return zones.normalise(parsed, z, "site_id").withColumnRenamed("utc_text", "moment")
+
+
+def frontier_keep_newest_utc(spark: SparkSession, d: str) -> DataFrame:
+    """The newest row of each canonical URL by the moment of every readable lastmod; the others last, earlier listing first."""
+    s = _sitemap_in_utc(spark, d).where("url IS NOT NULL").withColumn("canonical", urls.canonical(F.col("url")))
+    rank = F.struct(F.col("moment").isNull(), F.translate(F.coalesce("moment", F.lit("")), "0123456789", "9876543210"), F.col("list_ord"), F.col("sitemap_id"))
+    return frontier.keep_best(s.select("canonical", "sitemap_id", "moment", "list_ord"), ["canonical"], rank).select("canonical", "sitemap_id", "moment")
+
+
 def frontier_first_wins(spark: SparkSession, d: str) -> DataFrame:
     """Sitemap, pages and events in this order: the first that lists a canonical URL keeps it."""
     sources = [
@@ -108,7 +124,7 @@ def frontier_reachable(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     "url_canonical": url_canonical, "url_page_variant": url_page_variant, "url_path_filter": url_path_filter,
-    "frontier_keep_newest": frontier_keep_newest, "frontier_first_wins": frontier_first_wins,
+    "frontier_keep_newest": frontier_keep_newest, "frontier_keep_newest_utc": frontier_keep_newest_utc, "frontier_first_wins": frontier_first_wins,
     "frontier_snapshot_diff": frontier_snapshot_diff, "frontier_lastmod_lookup": frontier_lastmod_lookup,
     "frontier_known_pages": frontier_known_pages, "frontier_modified_since": frontier_modified_since, "frontier_reachable": frontier_reachable,
 }
