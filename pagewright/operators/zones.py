@@ -64,6 +64,14 @@ def normalise(stamps: DataFrame, zones: DataFrame, source: str) -> DataFrame:
     return inlined.withColumn("utc_text", utc_text(F.col("utc")))
 
 
+def localise(stamps: DataFrame, zones: DataFrame, source: str) -> DataFrame:
+    """Add ``local`` (NTZ), the wall clock at the source's place: as written without an offset, else brought into its zone."""
+    z = zones.select(F.col("source").alias("__source"), F.col("zone").alias("__zone"))
+    joined = stamps.join(z, F.col(source) == F.col("__source"), "left")
+    own = F.convert_timezone(F.lit("UTC"), F.coalesce("__zone", F.lit("UTC")), shift_minutes(F.col("wall"), -F.col("offset_min")))
+    return joined.withColumn("local", F.when(F.col("offset_min").isNull(), F.col("wall")).otherwise(own)).drop("__source", "__zone")
+
+
 def project_stamps(sitemap: DataFrame, event_items: DataFrame) -> DataFrame:
     """Both tables' written moments in one shape: src_table, row_id, site_id, written, arrived, wall, offset_min."""
     parts = [

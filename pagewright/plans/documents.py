@@ -57,9 +57,17 @@ def json_keys(spark: SparkSession, d: str) -> DataFrame:
     return f.where("keys IS NOT NULL").select("file_id", F.explode("keys").alias("key")).groupBy("key").agg(F.countDistinct("file_id").alias("n_files"))
 
 
+def json_keys_by_path(spark: SparkSession, d: str) -> DataFrame:
+    """Top-level keys of JSON files by number of files, a missing language read off the path."""
+    lang = F.coalesce(F.nullif(F.lower(F.trim("file_lang")), F.lit("")), F.lower(F.regexp_extract("file_path", r"\.(\w+)$", 1)))
+    f = table(spark, d, "code_files").where((lang == "json") & F.col("body").isNotNull()).select("file_id", F.json_object_keys("body").alias("keys"))
+    return f.where("keys IS NOT NULL").select("file_id", F.explode("keys").alias("key")).groupBy("key").agg(F.countDistinct("file_id").alias("n_files"))
+
+
 QUERIES = {
     "token_bands": token_bands, "structure_counts": structure_counts, "page_quality": page_quality, "markdown_cleaned": markdown_cleaned,
     "header_budgets": header_budgets, "first_sentences": first_sentences, "table_rows": table_rows, "json_keys": json_keys,
+    "json_keys_by_path": json_keys_by_path,
 }
 _ENTITY_SQL = "content"
 for _e, _c in docs.ENTITIES:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import urls
-from ..functions.timestamps import as_ntz, is_canonical, parse_moment, to_utc, utc_text
+from ..functions.timestamps import as_ntz, is_canonical, parse_moment
 from ..operators import frontier, zones
 from ..sources.tables import table
 
@@ -104,9 +104,9 @@ def frontier_known_pages(spark: SparkSession, d: str) -> DataFrame:
 
 def frontier_modified_since(spark: SparkSession, d: str) -> DataFrame:
     """Rows changed after the mark of their site, which is its newest lastmod of the first half of its listing."""
-    s = parse_moment(table(spark, d, "sitemap").select("sitemap_id", "site_id", "list_ord", "lastmod"), "lastmod")
-    s = s.where("offset_min IS NOT NULL AND wall IS NOT NULL").withColumn("moment", utc_text(to_utc(F.col("wall"), F.col("offset_min"), F.lit("UTC"))))
+    s = _sitemap_in_utc(spark, d)
     marks = s.groupBy("site_id").agg(F.percentile_approx("list_ord", 0.5, 1_000_000).alias("mid"))
+    s = s.where("moment IS NOT NULL")
     first_half = s.join(marks, "site_id").where("list_ord <= mid").groupBy("site_id").agg(F.max("moment").alias("mark"))
     return s.join(first_half, "site_id").where(F.col("moment") > F.col("mark")).select("sitemap_id", "site_id", "moment", "mark")
 

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import urls
-from ..functions.timestamps import as_ntz
-from ..operators import tables
+from ..functions.timestamps import as_ntz, parse_moment
+from ..operators import tables, zones
 from ..sources.tables import table
 from .frontier import CANONICAL_SQL
 
@@ -82,9 +82,20 @@ def event_years(spark: SparkSession, d: str) -> DataFrame:
     return e.groupBy(F.substring("day", 1, 4).alias("year")).agg(F.count(F.lit(1)).alias("n_events"), F.min(number).alias("first_day"), F.max(number).alias("last_day"))
 
 
+def event_years_local(spark: SparkSession, d: str) -> DataFrame:
+    """Events by the year of any readable date, as the site's calendar has it, and the span of their days as numbers."""
+    e = table(spark, d, "event_items")
+    stamps = zones.project_stamps(table(spark, d, "sitemap"), e)
+    z = zones.site_zones(stamps, table(spark, d, "site_config"))
+    local = zones.localise(parse_moment(e.select("event_id", "site_id", "event_date"), "event_date"), z, "site_id")
+    number = F.date_format(F.to_date("local"), "yyyyMMdd").cast("int")
+    days = local.where("local IS NOT NULL").select(number.alias("day"))
+    return days.groupBy(F.lpad(F.floor(F.col("day") / 10000).cast("string"), 4, "0").alias("year")).agg(F.count(F.lit(1)).alias("n_events"), F.min("day").alias("first_day"), F.max("day").alias("last_day"))
+
+
 QUERIES = {
     "kb_upsert": kb_upsert, "kb_delete_removed": kb_delete_removed, "kb_attributes": kb_attributes, "event_insert_absent": event_insert_absent,
-    "links_merge": links_merge, "key_decisions": key_decisions, "version_prune": version_prune, "event_years": event_years,
+    "links_merge": links_merge, "key_decisions": key_decisions, "version_prune": version_prune, "event_years": event_years, "event_years_local": event_years_local,
 }
 LATE_SQL = "(strftime({} AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M:%S') >= '" + CUT + "')"
 SQL = {
