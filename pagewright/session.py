@@ -35,35 +35,47 @@ def local_session(cores: str = "*", partitions: int = 8, **extra: str) -> SparkS
     return spark
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut lineage through the shared folder of ``spark.checkpoint.dir``.
+def _shared_base(spark: SparkSession) -> str:
+    """The folder that all executors share: ``spark.checkpoint.dir``.
 
-    A folder of our own is set only where the session names none, which is the case in local tests.
+    Where the session names none, a session on one machine gets a folder of its own; on a cluster that would
+    lose data, so there it is an error.
     """
-    sc = df.sparkSession.sparkContext
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        if not shared and not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
+    return sc.getCheckpointDir()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cut lineage by a checkpoint in the shared folder."""
+    _shared_base(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def kept(df: DataFrame) -> DataFrame:
+    """Cut lineage by a Parquet table in the shared folder, for what is read several times by few of its columns."""
+    path = f"{shared_folder(df.sparkSession)}/table"
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """``df`` in a partition per core at least, for work that is heavy on each row.
 
-    A Parquet file of one row group is one partition, however many cores wait; larger tables have more
-    partitions than cores and stay as they are, without a shuffle. Only plain scans are looked at: the
-    partitions of a plan with shuffles are known no sooner than it has run.
+    A file of one row group is one partition, however many cores wait, so a table of fewer files than cores
+    is shuffled once. Tables of more files have partitions enough and stay as they are.
     """
-    if "AdaptiveSparkPlan" in df._jdf.queryExecution().executedPlan().toString():
-        return df
-    wanted = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if 0 < len(df.inputFiles()) < cores else df
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder that all executors share: under ``spark.checkpoint.dir``, else our own as for checkpoints."""
-    base = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
+    """A new folder that all executors share."""
+    return f"{_shared_base(spark).rstrip('/')}/{uuid.uuid4().hex}"
 
 
 def ship(spark: SparkSession) -> None:
