@@ -167,9 +167,8 @@ def read_page(site: str, url: str | None, title: str | None, content: str, selec
                     if stack:
                         stack.pop()
                 elif not m[0].endswith("/>"):
-                    body, chrome = bool(BODY_NAMES.search(m[0])), bool(CHROME_NAMES.search(m[0])) or _selected(m[0], chosen)
-                    chrome_element = re.match(r"(?i)<(?:nav|aside|header|footer)\b", m[0])
-                    own = IN_BODY if body and not chrome_element else IN_CHROME if body or chrome else None
+                    removed = _selected(m[0], chosen) or re.match(r"(?i)<(?:nav|aside|header|footer)\b", m[0])
+                    own = IN_CHROME if removed else IN_BODY if BODY_NAMES.search(m[0]) else IN_CHROME if CHROME_NAMES.search(m[0]) else None
                     stack.append((m[0], stack[-1][1] if own is None and stack else IN_CHROME if own is None else own))
         if tag:
             continue
@@ -260,16 +259,19 @@ class Part:
         self.start = stop - room
         self.n = n
         size = int(stop[-1]) if len(stop) else 0
-        stream = np.zeros(size, np.uint64)
+        # the last place ends the stream, also by the last page's url
+        stream = np.zeros(size + 1, np.uint64)
+        numbers = pages["url"].to_numpy(np.int64).view(np.uint64)
+        stream[size] = (numbers[-1] if len(numbers) else np.uint64(0)) | (np.uint64(1) << np.uint64(41))
         within = np.arange(len(words)) - np.repeat(np.cumsum(n) - n, n)
         self.at = np.repeat(self.start, n) + within
         stream[self.at] = words
         borders = (stop - room - lead)[first_of_page]
-        stream[borders] = pages["url"].to_numpy(np.int64).view(np.uint64)[self.page_lines > 0] | (np.uint64(1) << np.uint64(40))
+        stream[borders] = numbers[self.page_lines > 0] | (np.uint64(1) << np.uint64(40))
         self.words = words
         self.names = named_suffixes(stream)
         urls = pd.factorize(pages["url"])[0]
-        self.url = np.repeat(urls[self.line_page], room + lead) if len(n) else np.zeros(0, np.int64)
+        self.url = np.append(np.repeat(urls[self.line_page], room + lead), urls[-1:] if len(urls) else [0])
         self.n_urls = len(set(urls))
 
     def counts(self) -> tuple[np.ndarray, np.ndarray]:
