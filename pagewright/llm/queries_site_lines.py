@@ -17,7 +17,11 @@ def p4_cleaned(spark: SparkSession, d: str) -> DataFrame:
     return site_lines.without_lines(pages, site_lines.repeated_lines(pages))
 
 
-QUERIES = {"p4_found": p4_found, "p4_cleaned": p4_cleaned}
+def p4_outcomes(spark: SparkSession, d: str) -> DataFrame:
+    return site_lines.outcomes(table(spark, d, "scraped_pages"))
+
+
+QUERIES = {"p4_found": p4_found, "p4_cleaned": p4_cleaned, "p4_outcomes": p4_outcomes}
 NORMAL = r"""regexp_replace(regexp_replace(regexp_replace(lower(line), '[0-9]+', '0', 'g'), '[\s\p{Z}]+', ' ', 'g'), '^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$', '', 'g')"""
 SQL = {
     "p4_found": rf"""
@@ -34,3 +38,11 @@ long AS (SELECT * FROM normal WHERE length(regexp_replace(norm, '\P{{L}}+', '',
 often AS (SELECT site, norm FROM long GROUP BY site, norm HAVING count(DISTINCT url) >= 10)
 SELECT DISTINCT page_id, line_no FROM long JOIN often USING (site, norm)"""
 }
+SQL["p4_cleaned"] = SQL["p4_found"].replace("SELECT DISTINCT page_id", ", cut AS (SELECT DISTINCT page_id") + """),
+kept AS (
+  SELECT page_id, string_agg(line, chr(10) ORDER BY n) AS content, count(*) AS n_kept
+  FROM (SELECT page_id, unnest(string_split(content, chr(10))) AS line, generate_subscripts(string_split(content, chr(10)), 1) AS n FROM pages) AS l
+  WHERE NOT EXISTS (SELECT 1 FROM cut WHERE cut.page_id = l.page_id AND cut.line_no = l.n) GROUP BY page_id)
+SELECT p.page_id, CASE WHEN p.content IS NULL THEN NULL ELSE coalesce(k.content, '') END AS content,
+       coalesce(CAST(len(string_split(p.content, chr(10))) - coalesce(k.n_kept, 0) AS INTEGER), 0) AS n_cut
+FROM scraped_pages AS p LEFT JOIN kept AS k USING (page_id)"""

@@ -32,3 +32,35 @@ def test_empty_table_and_long_line(spark):
     assert site_lines.repeated_lines(df).count() == 0
     long = spark.createDataFrame([(i, str(i), "https://a.example", "slovo " * 30000, None, None) for i in range(10)], SCHEMA)
     assert site_lines.repeated_lines(long).count() == 10
+
+
+def sites(width, n_lines):
+    """Two sites of 12 pages; each of ``n_lines`` lines is on ``width`` pages of both, one more line on ten and nine."""
+    content = {(s, p): ["Společná věta vydavatele obou webů"] * (p < (10 if s == "a" else 9)) for s in "ab" for p in range(12)}
+    for s in "ab":
+        for n in range(n_lines):
+            for p in range(width):
+                content[s, (n + p) % 12].append(f"Řádek {'xyz' * (n + 1)} obou webů")
+    return [(i, f"https://{s}.example/{p}", f"https://{s}.example", "\n".join(lines), None, None) for i, ((s, p), lines) in enumerate(content.items())]
+
+
+def test_the_test_rejects_what_is_usual_outside(spark):
+    rare, usual = (spark.createDataFrame(sites(width, 40), SCHEMA) for width in (1, 8))
+    assert site_lines.repeated_lines(rare).count() == 10
+    assert site_lines.repeated_lines(usual).count() == 0
+    assert {tuple(r) for r in site_lines.outcomes(usual).collect()} == {(True, False, 1), (False, False, 81)}
+
+
+def test_a_site_of_its_own_repeats_less_often(spark):
+    # twice on a site of ten pages, never on 2,000 pages outside
+    rows = [(i, f"https://a.example/{i}", "https://a.example", "Úřední hodiny podatelny" if i < 4 else f"věta {'o' * (i + 12)}", None, None) for i in range(10)]
+    rows += [(100 + i, f"https://b.example/{i}", "https://b.example", f"slova {'e' * 12}{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}", None, None) for i in range(2000)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert {(r.page_id, r.line_no) for r in site_lines.repeated_lines(df, min_urls=3).collect()} == {(i, 1) for i in range(4)}
+
+
+def test_salted_copies_give_the_same(spark, monkeypatch):
+    df = spark.createDataFrame(pages(), SCHEMA)
+    wanted = {tuple(r) for r in site_lines.repeated_lines(df).collect()}
+    monkeypatch.setattr(site_lines, "ROWS_A_SALT", 3)
+    assert {tuple(r) for r in site_lines.repeated_lines(df).collect()} == wanted
