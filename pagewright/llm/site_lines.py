@@ -27,11 +27,14 @@ LINES_ONCE = 100
 ROWS_A_SALT = 100_000
 
 
+def folded_lines(content: Column) -> Column:
+    """Lines of a text in lower case, digit runs as ``0``, blanks within a line as single ones: whole texts at once."""
+    return F.split(F.regexp_replace(F.regexp_replace(F.lower(content), r"\p{Nd}+", "0"), r"(?U)[\s&&[^\n]]+", " "), "\n", -1)
+
+
 def normalised(line: Column) -> Column:
-    """Lower case, digit runs as ``0``, single blanks, nothing but letters and digits at both ends."""
-    low = F.regexp_replace(F.regexp_replace(F.lower(line), r"\p{Nd}+", "0"), r"(?U)\s+", " ")
-    # the look behind lets a run of signs be tried once, not from each of its characters
-    return F.regexp_replace(low, r"^[^\p{L}\p{N}]+|(?<![^\p{L}\p{N}])[^\p{L}\p{N}]++$", "")
+    """A folded line from its first letter or digit to its last."""
+    return F.regexp_extract(line, r"(?s)[\p{L}\p{N}](?:.*[\p{L}\p{N}])?", 0)
 
 
 def lines_of(pages: DataFrame, page_id: str = "page_id", url: str = "url", base_url: str = "base_url", content: str = "content") -> DataFrame:
@@ -41,11 +44,11 @@ def lines_of(pages: DataFrame, page_id: str = "page_id", url: str = "url", base_
     ``MIN_LETTERS`` letters are left out; a NULL content has no lines, a NULL url counts as one page.
     """
     used = spread(pages.where(F.col(content).isNotNull()).select(page_id, base_url, url, content))
-    split = used.select(F.col(page_id).alias("page_id"), F.xxhash64(site_key(F.col(base_url))).alias("site"), F.xxhash64(F.coalesce(F.col(url), F.lit(""))).alias("url"), F.posexplode(F.split(F.col(content), "\n", -1)).alias("pos", "line"))
+    split = used.select(F.col(page_id).alias("page_id"), F.xxhash64(site_key(F.col(base_url))).alias("site"), F.xxhash64(F.coalesce(F.col(url), F.lit(""))).alias("url"), F.posexplode(folded_lines(F.col(content))).alias("pos", "line"))
     only_tags = F.contains("line", F.lit("<")) & (F.trim(F.regexp_replace("line", r"<[^<>]*+>", "")) == "")
-    candidates = split.where((F.length("line") >= MIN_LETTERS) & ~only_tags)
-    norm = candidates.select("page_id", (F.col("pos") + 1).alias("line_no"), "site", "url", F.inline(F.array(F.struct(normalised(F.col("line")).alias("norm")))))
-    return norm.where(F.regexp_count("norm", F.lit(r"\p{L}")) >= MIN_LETTERS).select("page_id", "line_no", "site", "url", F.xxhash64("norm").alias("key"))
+    # enough letters are looked for from the left and no further
+    long = (F.length("line") >= MIN_LETTERS) & F.col("line").rlike(rf"^(?:\P{{L}}*+\p{{L}}){{{MIN_LETTERS}}}") & ~only_tags
+    return split.where(long).select("page_id", (F.col("pos") + 1).alias("line_no"), "site", "url", F.xxhash64(normalised(F.col("line"))).alias("key"))
 
 
 def _g2(k1: Column, n1: Column, k2: Column, n2: Column) -> Column:
@@ -122,7 +125,7 @@ def repeated_lines(pages: DataFrame, min_urls: int = MIN_URLS, rate: float = FAL
     on each page of a huge site isn't one reducer's work.
     """
     lines = kept(lines_of(pages))
-    found = significant(line_statistics(lines, site_sizes(pages)), rate).where(F.col("n_urls") >= min_urls)
+    found = significant(kept(line_statistics(lines, site_sizes(pages))), rate).where(F.col("n_urls") >= min_urls)
     n_salts = F.ceil(F.col("n_urls") / ROWS_A_SALT).cast("int")
     copies = found.select("site", "key", n_salts.alias("n_salts"))
     most = copies.agg(F.coalesce(F.max("n_salts"), F.lit(1)).alias("n")).first()["n"]
