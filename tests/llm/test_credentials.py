@@ -48,7 +48,7 @@ def test_empty_table(spark):
 
 
 def test_residual_is_what_no_word_explains():
-    words = frozenset({"cache", "prefix"})
+    words = credentials.Dictionary({"cache", "prefix"})
     assert credentials.residual("cache-prefix-12", words) == (0, 0)
     assert credentials.residual("cache_q7wz", words) == (4, 4)
 
@@ -57,18 +57,51 @@ def test_pieces_of_keys_are_no_words(spark):
     keys = ["zlFGonxbMCPKXTLt2KoBcF9l", "PBqSJIIbcOlVPbx7alM4td8v"]
     bodies = [f'# remark\nload_cache("plain")\nAPI_KEY = "{keys[i % 2]}"\nSMS_TOKEN={keys[i % 2]}\nurl = amqp://u:{keys[i % 2]}@db.example\n' for i in range(8)]
     df = spark.createDataFrame([(i, "a.env", None, b, None) for i, b in enumerate(bodies)], SCHEMA)
-    words = credentials.dictionary(df)
-    assert {"remark", "load", "cache", "api", "key", "sms", "token", "url"} <= words
-    assert all(credentials.residual(k, words)[0] >= credentials.RESIDUAL for k in keys) and "plain" not in words
+    words = credentials.dictionary(df).all
+    assert {"remark", "load", "cache", "api", "key", "sms", "token", "url"} <= set(words)
+    assert all(credentials.residual(k, words)[0] >= credentials.RESIDUAL for k in keys) and "plain" not in set(words)
     assert {r.secret_text for r in credentials.find(df).collect()} == set(keys)
 
 
 def test_words_must_spread_with_the_corpus(spark):
     rows = [(i, "a.py", None, "common" + (" seldom" if i < 3 else ""), None) for i in range(3 * credentials.FILES_A_WORD + 1)]
-    assert credentials.dictionary(spark.createDataFrame(rows[:100], SCHEMA)) == {"common", "seldom"}
-    assert credentials.dictionary(spark.createDataFrame(rows, SCHEMA)) == {"common"}
+    assert set(credentials.dictionary(spark.createDataFrame(rows[:100], SCHEMA)).all) == {"common", "seldom"}
+    assert set(credentials.dictionary(spark.createDataFrame(rows, SCHEMA)).all) == {"common"}
 
 
 def test_long_literals_are_segmented():
-    assert credentials.residual("cache-prefix-" * 100, {"cache", "prefix"}) == (0, 0)
-    assert credentials.residual("q7wz" * 200, {"cache"})[0] == 800
+    assert credentials.residual("cache-prefix-" * 100, credentials.Dictionary({"cache", "prefix"})) == (0, 0)
+    assert credentials.residual("q7wz" * 200, credentials.Dictionary({"cache"}))[0] == 800
+
+
+WORDS = credentials.Words("your api key here change please insert the value cache prefix password heslo tajne default".split(), "your change password heslo here insert".split())
+
+
+def test_the_segmentation_decides(monkeypatch):
+    body = 'API_KEY = "your-api-key-here"\nTOKEN = "please_insert_the_value"\nSECRET_KEY = "q7Wz1LxT90sKd2VbN4"\npassword = "change_your_password"\npassword = "kocour77"\n'
+    assert credentials.secrets_of(body, "py", WORDS) == [(3, "q7Wz1LxT90sKd2VbN4"), (5, "kocour77")]
+    # without it the placeholders come out as well
+    monkeypatch.setattr(credentials, "residual", lambda literal, words: (len(literal), len(literal)))
+    assert len(credentials.secrets_of(body, "py", WORDS)) == 5
+
+
+def test_long_names_gaps_and_values():
+    name = "x" * 200 + "_api_key"
+    body = f'{name} = "q7Wz1LxT90sKd2VbN4"\n# heslo {"do velmi vzdálené administrace " * 4}: kocour77\npw\n{"a" * 3}\nkey = "{"q7wz1L" * 200}"\npwd=x9y\npwd=x9yz\n'
+    assert credentials.secrets_of(body, "ini", WORDS) == [(1, "q7Wz1LxT90sKd2VbN4"), (2, "kocour77"), (5, "q7wz1L" * 200), (7, "x9yz")]
+    # words longer than any limit explain a value as short ones do
+    long = "donaudampfschifffahrtsgesellschaft"
+    assert credentials.residual(long, credentials.Dictionary({long})) == (0, 0)
+
+
+def test_redaction_keeps_the_rest_of_a_line():
+    body = 'db = "mysql://tajne77:tajne77@tajne77.example/tajne77"\n# token q7Wz1LxT90sKd2VbN4 (q7Wz1LxT90sKd2VbN4)\nuser="kocour", password="kocour77kocour"\n'
+    spans = credentials.secret_spans(body, "env", WORDS)
+    assert credentials.without_secrets(body, spans, "X").split("\n")[0] == 'db = "mysql://tajne77:X@tajne77.example/tajne77"'
+    assert "q7Wz" not in credentials.without_secrets(body, spans, "X")
+    assert credentials.without_secrets(body, spans, "X").split("\n")[2] == 'user="kocour", password="X"'
+
+
+def test_lines_of_a_million_characters_are_linear():
+    body = "token " * 200_000 + "\n" + "heslo do " * 100_000 + "\n" + "a." * 500_000 + "key"
+    assert credentials.secrets_of(body, "txt", WORDS) == []
