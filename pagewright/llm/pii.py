@@ -1,8 +1,10 @@
 """Personal information inside free text (problem 8): e-mail, phone, identity number, address, person.
 
-Regular expressions propose spans, checksums confirm or refute them (modulo 11 for birth numbers, Luhn for
-card numbers, modulo 97 for account numbers, neither of which is a case), and words next to a span change its
-score. Spans that reach ``ACCEPTED`` are kept; of two that overlap, the one of the earlier type in ``ORDER``.
+Regular expressions propose spans, checksums confirm or refute them (modulo 11 confirms birth numbers; Luhn and
+modulo 97 find the numbers of payment cards and accounts, whose digits are no phones), and words next to a span
+change its score. Names come from a list of given names, and any two capital words may be one if the words around
+them, titles and the shape of the surname say so. Spans that reach ``ACCEPTED`` are kept; of two that overlap,
+the one of the earlier type in ``ORDER``.
 """
 
 from __future__ import annotations
@@ -37,6 +39,25 @@ Vlastana Vlastimil Vojtěch Zdeněk Zdeňka Zdimír Zuzana Žaneta
 """
 # Titles before and after names, forms of address, words of streets.
 TITLE = r"(?:Ing\. ?arch|Ing|Mgr|MgA|Bc|BcA|JUDr|MUDr|MVDr|MDDr|PhDr|RNDr|PaedDr|PharmDr|ThDr|ThLic|doc|Doc|prof|Prof|Dr|Dipl\.-Ing|akad|plk|mjr|kpt|por|gen|arch)\.?"
+# Words before and after names of people, in Czech, Slovak, German and English.
+_TAIL = r"(?:\s(?:zůstává|ostáva|je|byl\w*|is|was|ist))?\s*(?:\([^()]{1,12}\))?\s*[:\-–]?\s*$"
+PERSON_WORD = re.compile(
+    r"(?i)(?<!\w)(?:(?:podal|podepsal|zapsal|vypracoval|schválil|uvedl|sdělil|řekl|dodal|připravil|napsal|ověřil|předložil|vyřídil|navrhl|podpísal|zapísal|uviedol|povedal)(?:\(a\)|a|i)?"
+    r"|(?:jednatel|starost|místostarost|hejtman|ředitel|tajemní[kc]|tajemnic|referent|zastupitel|občan|host|autor|žadatel|žiadate[lľ]|majitel|vlastník|nájemc|nájemník|kupující|prodávající|svěd[ek]|pacient|žá[kc]|správc|předsed|riadite[lľ]|účastní[kc])\w*"
+    r"|vedoucí\w*|radn[íé]\w*|mayor|author|applicant|resident|signed by|gezeichnet|unterzeichnet|bürgermeister\w*|ansprechpartner\w*|antragsteller\w*)" + _TAIL
+)
+BEFORE_NAME = re.compile(
+    r"(?i)(?<!\w)(?:kontakt\w*|odpovíd[áa]|poskyt\w+|zůstává|ostáva|vyřizuje|vybavuje|zastupuje|zastoupen\w*|podle|dle|podľa|jménem|menom|mezi (?:\w+ ){1,3}a|medzi (?:\w+ ){1,3}a|hovořil\w* s|setkání s|stretnutie s"
+    r"|by|contact|according to|said|between (?:\w+ ){1,3}and|von|durch|mit|erteilt|laut|zwischen (?:\w+ ){1,3}und)" + _TAIL
+)
+BORN = re.compile(r"(?i)^,?[  ]?\(?(?:nar\.|narozen|r\. ?č|rodné č|geb\.|geboren|born|ph\. ?d|csc|dis\.)|^(?:[,;]|[  ]?\|)[  ][\w.+-]+[  ]?(?:@|\(at|\[at|zavin)|^[  ]?\|[  ]*[+(]?\d{3}")
+AFTER_NAME = re.compile(
+    r"(?i)^(?:[,;]?[  ](?:mba|tel\b|telefon|mobil|e-?mail|bytem|trvale|dveře|mayor|starost|místostarost|vedoucí|ředitel|jednatel|tajemn|bürgermeister)"
+    r"|[  ]?\|[  ]*(?:[+(]|\d{2}|[\w.]+[  ]?[@(\[])|[,;][  ][\w.+-]+[  ]?(?:@|\(|\[|zavin)|\n\s*(?:tel\b|telefon|mobil|e-?mail|[+(]?\d{3})"
+    r"|[  ](?:požádal|požiadal|uvedl|řekl|podepsal|předložil|žádá|žiada|bydlí|býva|zůstává|převádí|said|signed|lives|resides|or call|wohnt|beantragt))"
+)
+#: endings of surnames in Czech and Slovak and of some others
+SURNAME = re.compile(r"(?i)(?:ov(?:á|é|ou|ej)|[sc]k(?:ý|á|é|ého|ému|ým|ém|ou|ej)|[bdhklnrtv](?:ý|á|é|ého|ému|ým)|mann|berger|sen|son|ovič|vić|enko)$")
 ADDRESSED = {"pan", "pana", "panu", "pane", "panem", "paní", "slečna", "slečny", "slečně", "slečnu", "slečnou", "pán", "pána", "pánovi", "pani", "slečna", "herr", "herrn", "frau", "mr", "mrs", "ms", "miss", "p", "sl"}
 STREET_BEFORE = re.compile(r"(?:\bul(?:ic[eiíou]+|icami|\.)?|\bul\.?|\btříd[aěuy]|\btř\.?|\bnáměstí|\bnám\.?|\bnábřeží|\bnábř\.?|\bškol[aeyuou]+|\bZŠ|\bMŠ|\bgymnázi\w+|\bsídliště|\bspolečnost\w*|\bfirm\w+|\bstraße|\bstrasse|\bstreet|\bschool|\bSchule)[  ]+$", re.I)
 STREET_FIRST = {"Na", "Nad", "Pod", "Před", "Za", "U", "V", "Ve", "K", "Ke", "Mezi", "Pri", "Nám", "nám", "náměstí", "Náměstí", "třída", "tř", "Třída", "nábřeží", "Nábřeží"}
@@ -83,6 +104,11 @@ _EMAIL_HINT = re.compile(r"(?<=\w) ?[\[({<] ?(?:at|AT|@|zavin|ZAVIN)|(?<=\w)[  ]
 _DISGUISES = ("(at", "[at", "{at", "<at", "( at", "[ at", "(AT", "[AT", "[@", "(@", "zavin", "ZAVIN", " AT ")
 #: runs of digits with the separators that numbers of people have
 _NUMBER = re.compile(rf"(?<![\w/.\-+])(?:\(?(?:\+|00)(?:420|421|49|43|48|44|36|1){S}?\)?{S}?)?\(?\d(?:\)?(?:{S}?/{S}?|[.\-]|{S})?\d){{7,11}}(?![\w]|[/\-]\d|[.,]\d)")
+#: runs of at least so many digits are looked at for card numbers
+CARD_DIGITS = range(13, 20)
+_IBAN = re.compile(rf"(?<![\w])[A-Z]{{2}}\d\d(?:{S}?[A-Z0-9]{{4}}){{2,7}}(?:{S}?[A-Z0-9]{{1,3}})?(?![\w])")
+_ACCOUNT = re.compile(r"[A-Z]{2}\d{2}[A-Z0-9]{10,30}")
+_LONG_RUN = re.compile(rf"(?<![\w])\d(?:(?:[.\-/]|{S})?\d){{12,}}(?![\w])")
 _DATE = re.compile(r"\d{1,2}\.\s?\d{1,2}\.\s?\d{4}|\d{4}-\d\d-\d\d")
 _MONEY = re.compile(r"[  ]?(?:Kč|EUR|CZK|ks\b|korun)")
 _BIRTH = re.compile(rf"^\d{{6}}(?:{S}?/{S}?|{S})?\d{{3,4}}$")
@@ -100,6 +126,11 @@ _ADDRESSED = re.compile(rf"(?<!\w)(?:{'|'.join(sorted(ADDRESSED | {a.capitalize(
 _SENTENCE_WORDS = {"Starosta", "Místostarosta", "Zapsal", "Referent", "Odbor", "Rada", "Obec", "Město", "Městský", "Úřad", "Ulice", "Tel", "Dne", "Na", "V", "Za", "Pod", "U", "Dotazy", "Kontakt", "Most", "Podle", "Kraj", "Datová", "Usnesení", "Spolek", "Společnost", "Svoz", "Pozemek", "Snímky", "Kapacita", "Náklady", "Jednání", "Kronika", "Uzavírka", "Dodavatel", "Do", "Setkání", "Spor", "Výstava", "Smlouva", "Poruchy", "Fax", "Mobil", "Bližší", "Volejte", "Trvale", "Bydliště", "Korespondenci", "Sídlo", "Dům", "Rodné", "Číslo", "Totožnost", "Žádost", "Prodávající"}
 
 
+def _NAME_SIGN(c: str) -> bool:
+    """Whether a character may stand in an address's name."""
+    return c.isalnum() and c.isascii() or c in "._+-%"
+
+
 def luhn(digits: str) -> bool:
     """Check digit of card numbers."""
     total = 0
@@ -112,7 +143,7 @@ def luhn(digits: str) -> bool:
 def iban(text: str) -> bool:
     """Modulo 97 of an international account number."""
     t = re.sub(r"\s", "", text).upper()
-    return bool(re.fullmatch(r"[A-Z]{2}\d{2}[A-Z0-9]{10,30}", t)) and int("".join(str(int(c, 36)) for c in t[4:] + t[:4])) % 97 == 1
+    return bool(_ACCOUNT.fullmatch(t)) and int("".join(str(int(c, 36)) for c in t[4:] + t[:4])) % 97 == 1
 
 
 def birth_number(digits: str) -> bool:
@@ -141,24 +172,41 @@ def _emails(text: str) -> Iterator[tuple[int, int, float]]:
     for sign in signs:
         if sign < done:
             continue
-        # the address lies around its sign; nothing else of the text is looked at
-        low = max(done, sign - 80)
-        while low > max(done, sign - 160) and not text[low].isspace():
+        # the name begins where the characters of a name end, to the left of the sign and its brackets or blanks
+        low = sign
+        while low > done and not _NAME_SIGN(text[low - 1]):
+            low -= 1
+        while low > done and _NAME_SIGN(text[low - 1]):
             low -= 1
-        for m in _EMAIL.finditer(text, low, sign + 160):
+        for m in _EMAIL.finditer(text, low):
             s, e = m.span()
             while text[e - 1] in ".-":
                 e -= 1
             if s <= sign < e:
                 yield s, e, 1.0
                 done = e
-                break
+            break
+
+
+def _refuted(text: str) -> list[tuple[int, int]]:
+    """Places of account numbers that modulo 97 proves, and of card numbers that Luhn proves."""
+    # a last short group may be the next word
+    out = [m.span() for m in _IBAN.finditer(text) if iban(m[0]) or iban(re.sub(rf"{S}\w{{1,3}}$", "", m[0]))]
+    for m in _LONG_RUN.finditer(text):
+        digits, groups = re.sub(r"\D", "", m[0]), [len(g) for g in re.split(r"\D", m[0])]
+        # cards are written in fours, as four, six and five, or without gaps, and begin with 2 to 6
+        if len(digits) in CARD_DIGITS and digits[0] in "23456" and (len(groups) == 1 or set(groups[:-1]) == {4} or groups[:2] == [4, 6]) and luhn(digits):
+            out.append(m.span())
+    return sorted(out)
 
 
 def _numbers(text: str) -> Iterator[tuple[int, int, str, float]]:
+    refuted = _refuted(text)
     for m in _NUMBER.finditer(text):
         s, e = m.span()
         raw = m[0]
+        if refuted and any(a < e and s < b for a, b in refuted):
+            continue
         digits = re.sub(r"\D", "", raw)
         foreign = raw.lstrip("(").startswith(("+", "00"))
         if not foreign and not 8 <= len(digits) <= 10:
@@ -180,9 +228,13 @@ def _numbers(text: str) -> Iterator[tuple[int, int, str, float]]:
             if "/" in raw or len(digits) == 10 or hint:
                 yield s, e, "id_number", (1.0 if len(digits) == 10 or hint else 0.5) + hint - penalty
                 continue
-        if len(digits) in (15, 16) and luhn(digits):
-            continue
         national = re.sub(r"^(?:00)?42[01]", "", digits) if foreign else digits
+        if foreign and len(national) > 9 and national != digits:
+            # nine digits follow these prefixes; what comes after them is another number, unless it's one with them
+            place = [k for k, c in enumerate(raw) if c.isdigit()][len(digits) - len(national) + 8]
+            if raw[place + 1].isdigit():
+                continue
+            raw, e, national = raw[: place + 1], s + place + 1, national[:9]
         shape = bool(re.search(r"\d[^\d]\d", raw.lstrip("(+")))
         hint = 0.5 if _PHONE_HINT.search(line) else 0.0
         if foreign and 7 <= len(national) <= 12 or len(national) == 9 and national[0] in "234567":
@@ -234,11 +286,35 @@ def _persons(text: str) -> Iterator[tuple[int, int, float]]:
         w = caps[i][2]
         return len(w) > 2 and w not in _SENTENCE_WORDS
 
+    def unlisted(i: int) -> int | None:
+        """The last word of a name whose given name isn't listed, if what stands around it and its shape say so."""
+        if caps[i][2].lower() in ADDRESSED or not joined(i) or not surname(i) or not surname(i + 1) or i and joined(i - 1) and surname(i - 1):
+            return None
+        last = i + 1
+        if joined(last) and surname(last + 1) and SURNAME.search(caps[last + 1][2]):
+            last += 1
+        if caps[i][2].isupper() != caps[last][2].isupper() and not caps[i][2].isupper():
+            return None
+        s, e = caps[i][0], caps[last][1]
+        before, after = text[max(0, s - CONTEXT) : s].rsplit("\n", 1)[-1], text[e : e + 24]
+        if STREET_BEFORE.search(before) or re.match(rf"^{S}?(?:č\.|čp\.|\d{{1,4}}(?!\d)|s\. ?r\. ?o|a\. ?s\.|spol\.|v\. ?o\. ?s|GmbH|Ltd)", after):
+            return None
+        alone = bool(re.fullmatch(r"[\s|*•#\-–]*", before)) and bool(re.match(r"\s*(?:\*\*)?(?:\n|\||$)", after))
+        left = 0.7 if PERSON_WORD.search(before) else 0.5 if BEFORE_NAME.search(before) else 0.0
+        right = 0.7 if BORN.match(after) else 0.5 if AFTER_NAME.match(after) else 0.0
+        if joined(last) and max(left, right) < 0.7:
+            return None
+        score = 0.3 + left + right + 0.3 * bool(SURNAME.search(caps[last][2])) + 0.3 * alone
+        return last if score >= ACCEPTED else None
+
     i = 0
     while i < n:
         s, e, w = caps[i]
         reversed_name = i + 1 < n and caps[i + 1][2] in _GIVEN
         if not (w in _GIVEN_ANY or len(w) == 1 or reversed_name or s in addressed or s in titled):
+            if (last := unlisted(i)) is not None:
+                yield s, caps[last][1], 1.0
+                i = last
             i += 1
             continue
         before = text[max(0, s - CONTEXT) : s]
@@ -267,7 +343,7 @@ def _persons(text: str) -> Iterator[tuple[int, int, float]]:
                 end, last = caps[i + 1][1], i + 1
         elif s in addressed and surname(i) and len(w) > 2:
             end, last = e, i
-            if joined(i) and surname(i + 1) and word not in ("p", "sl") and re.search(r"(?:ov|sk|ck)\w*$", caps[i + 1][2]):
+            if joined(i) and surname(i + 1) and word not in ("p", "sl"):
                 end, last = caps[i + 1][1], i + 1
         elif len(w) > 2 and joined(i) and surname(i) and surname(i + 1) and s in titled:
             end, last = caps[i + 1][1], i + 1

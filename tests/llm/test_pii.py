@@ -23,6 +23,13 @@ CASES = [
     ("Rozhodnutí podepsal(a) Ing. Radovoj Ostrukol, Ph.D., vedoucí.", {("person", "Radovoj Ostrukol")}),
     ("Zapsal(a): OSTRUKOL Radovoj", {("person", "OSTRUKOL Radovoj")}),
     ("Podle M. Mruhrana je most bezpečný. Pan Vrbdnor požádal.", {("person", "M. Mruhrana"), ("person", "Vrbdnor")}),
+    ("Žádost podal Ludvík Svoboda, nar. 1. 2. 1990.", {("person", "Ludvík Svoboda")}),
+    ("Podle Bořivoje Hrubého je most bezpečný. Zapsala: Zora Bílá", {("person", "Bořivoje Hrubého"), ("person", "Zora Bílá")}),
+    ("Antrag von Herrn Wolfgang Schmidt. Signed by Emily Watson, mayor.", {("person", "Wolfgang Schmidt"), ("person", "Emily Watson")}),
+    ("Die Gemeinde Lhota informiert. Spor mezi obcí a Dolní Lhotou skončil. Podle Dolní Lhoty je most bezpečný.", set()),
+    ("Účet CZ65 0800 0000 1920 0014 5399 a karta 4111 1111 1111 1111.", set()),
+    ("Volejte +420 4111 1111 1111 11, volejte 00420 602 111 222 12 hodin.", {("phone", "00420 602 111 222")}),
+    (f"{'a' * 300}.novak@{'b' * 300}.cz", {("email", f"{'a' * 300}.novak@{'b' * 300}.cz")}),
     ("Setkání s Evou Hvobelovou Zábržerovou proběhne v sále.", {("person", "Evou Hvobelovou Zábržerovou")}),
 ]
 
@@ -50,3 +57,21 @@ def test_find_and_mask(spark):
     out = {r.doc_id: r for r in pii.masked(df).collect()}
     assert out[1].text == "Volejte <PHONE>." and out[2].text is None and out[3].text == "" and out[4].text.endswith("Pan <PERSON> žádal.")
     assert pii.find(df.limit(0)).count() == 0 and pii.counts(df).count() == 2
+
+
+@pytest.mark.parametrize("given", ["Ludvík", "Bořivoj", "Zora", "Wolfgang", "Emily", "Ctirad", "Radmila", "Oleksandr", "Thorsten", "Nguyen"])
+def test_given_names_that_no_list_has(given):
+    assert given not in pii._GIVEN
+    for surname in ("Svoboda", "Hrubá", "Kovářová"):
+        name = f"{given} {surname}"
+        for text in (f"Rozhodnutí podepsal(a) {name}.", f"Žadatel: {name}, r. č. 680923/6148, předložil doklady.", f"| {name} | 602 111 222 |", f"Smlouva se uzavírá s občanem {name} na dobu neurčitou.", f"Kontakt: {name}, tel. 602 111 222"):
+            assert ("person", name) in {(k, text[s:e]) for s, e, k in pii.spans(text)}, text
+
+
+def test_checksums_refute(monkeypatch):
+    text = "Platba kartou 4111111111111111, převod CZ6508000000192000145399, volejte 602 111 222."
+    assert [k for *_, k in pii.spans(text)] == ["phone"]
+    account = "Zaplaťte na CZ65 0800 0000 1920 0014 5399"
+    assert pii.spans(account) == []
+    monkeypatch.setattr(pii, "iban", lambda t: False)
+    assert [account[s:e] for s, e, _ in pii.spans(account)] == ["0014 5399"]
