@@ -1,6 +1,7 @@
 """Defective prompt and response pairs (problem 1), found by ordered rules.
 
-The rules are Spark expressions; only the guess of a text's language is an Arrow-batched function.
+Each pair goes once through an Arrow-batched function, which folds its texts once and tries the rules in their
+order: emptiness, copied prefixes, refusals, language and script mismatch, unclosed delimiters and abrupt ends.
 """
 
 from __future__ import annotations
@@ -8,14 +9,13 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections import Counter
-from functools import lru_cache, reduce
+from collections.abc import Iterator
+from functools import lru_cache
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..functions.text import folded
 from ..session import spread
 
 # Frequent words without diacritics, by language.
@@ -26,6 +26,22 @@ WORDS = {
     "de": "der die das und ist sind nicht ein eine einen einem einer ich sie wir ihr auf am im in von vom zu zur mit bei fur wo wie was wann welche welchen brauche bekomme kann konnen bitte bringen stellen den dem des antrag gebuhr betragt wird vor ort bezahlt dauert regel tage uber es leider dazu keine liegen mir diese frage informieren",
     "en": "the a an is are was and or not of to for in on at by from with i you we it this that can could do does how where what which when why get need moved last month ask about please bring valid which available apply should book before they come fee be paid cash card office open between takes your my me am sorry no have has information topic cannot help unfortunately",
 }
+# Frequent words of further languages; those that a language above also has don't count.
+FURTHER = {
+    "fr": "le la les des du un une est sont pour dans avec vous nous je ne pas que qui sur votre vos cette ce ces aux par ou etre avoir peut pouvez sans plus tout mais comme demande mairie bonjour merci",
+    "es": "el los las del una es son para con usted ustedes nosotros que no por su sus este esta estos como puede pueden sin mas pero donde cuando solicitud ayuntamiento gracias hola debe hay",
+    "it": "il lo gli della delle dei un una e sono per con voi noi che non di al alla nel nella questo questa come puo potete senza piu ma dove quando domanda comune grazie deve presso",
+    "pt": "os as da das dos um uma sao para com voce que nao por seu sua este esta como pode podem sem mais mas onde quando pedido obrigado deve no na ao pela",
+    "nl": "het een zijn voor met u wij dat niet op aan bij uw deze dit hoe kan kunt zonder meer maar waar wanneer aanvraag gemeente dank moet worden ook naar",
+    "hu": "az egy es nem hogy meg van vannak kell lehet ez ezt kerem koszonom onkormanyzat kerelem hol mikor mennyi vagy csak mar ha is hivatal ugyfel igen",
+    "ro": "si nu este sunt pentru cu care din la mai sau cum poate puteti fara unde cand cerere primaria multumesc trebuie acest aceasta prin dumneavoastra",
+    "hr": "i su za koji koja koje kako gdje kada moze mozete bez vise ali zahtjev opcina hvala treba ovo ova nije sto iz uz kod prema",
+}
+# Letters and letter groups by language, asked for where words don't tell.
+GROUPS = {
+    "cs": "ř ě ů ou ého ní", "sk": "ľ ĺ ŕ ô ä ého ie", "pl": "ł ę ą ś ż sz cz rz", "de": "ß ü sch ung ein ich", "en": "th ing wh ght tion ee", "fr": "ç ê eau oi ux é", "es": "ñ ción ll ¿ ad os",
+    "it": "zione gli cch à ò tt", "pt": "ã õ ção lh nh", "nl": "ij oo aa een cht", "hu": "ő ű gy sz ny á", "ro": "ă ț ș ul ea", "hr": "đ ije nj lj ć",
+}
 # Letters that only one of these languages has, looked for in words without a capital.
 LETTERS = {"cs": set("řěů"), "sk": set("ľĺŕôä"), "pl": set("łżśćąęźń"), "de": set("ßüöä")}
 # Code point ranges of other scripts, taken as languages of their own.
@@ -41,105 +57,209 @@ REQUESTS = {
 _SPEAKERS = {w: [c for c, ws in WORDS.items() if w in ws.split()] for w in " ".join(WORDS.values()).split()}
 _BARRED = str.maketrans("łđøß", "ldos")
 
-ROLE = r"(?iu)^\s*(?:human|user|bot|assistant|uživatel|asistent|otázka|odpověď|question|answer|q|a)\s*:\s*"
+
+ROLE = re.compile(r"(?i)^\s*(?:human|user|bot|assistant|uživatel|asistent|otázka|odpověď|question|answer|q|a)\s*:\s*")
 # Stand-ins for "nothing", folded.
 NOTHING = r"^(?:|null|none|nil|nan|n a|na|undefined|empty|void|tbd|todo|prazdn[ay] odpoved|prazdne|bez odpovedi|zadna odpoved|zadna|nic|neuvedeno|no answer|no response|leer|keine antwort|brak|brak odpowiedzi|ziadna odpoved|nevyplneno)$"
 # Phrases before a repeated question, folded.
 LEAD_IN = r"\b(?:ptate se(?: na(?: toto)?)?|vas dotaz|vase otazka|otazka|odpoved|dotaz zni|you asked|your question|question|answer|ihre frage|frage|antwort|pytanie|odpowiedz|pytate sa|vasa otazka)\b"
 # Courtesies that say nothing by themselves, folded, one sentence each.
 COURTESY = r"^(?:dobry den|ahoj|zdravim|hezky den|pekny den|prijemny den|na shledanou|dekuji(?: vam)?(?: za (?:dotaz|zpravu|otazku|trpelivost))?|dobry den dekuji za (?:dotaz|zpravu|otazku)|dakujem(?: za otazku)?|dzien dobry|guten tag|hello|hi|good day|have a nice day|thank you(?: for your question)?|danke(?: fur ihre frage)?|rozumim|chapu|i understand|mohu (?:vam )?(?:pomoci|poradit) s necim jinym|prejete si jeste neco|can i help (?:you )?with (?:anything|something) else|mohu jeste nejak pomoci|omlouvam se|prominte|lituji|sorry|i m sorry|je mi lito|bohuzel|s pozdravem)$"
-# Sentences that decline or say that nothing is known, folded.
-REFUSAL = "|".join([
-    r"\bnemam (?:k (?:tomuto |tomu |dane )?(?:tematu|dotazu|veci|tomu) )?(?:zadne |dostatek |potrebne )?(?:informace|informaci|udaje|podklady)", r"k tomuto tematu nemam",
-    r"\bodpoved(?: na (?:to|tuto otazku|vas dotaz|dotaz))? (?:jsem )?(?:neznam|nenasel|nenasla|nemam)", r"\bneznam odpoved", r"odpoved (?:bohuzel )?(?:neznam|nenasel|nenalezena)", r"jsem odpoved nenas",
-    r"\bs timto (?:vam )?(?:bohuzel )?nepomohu", r"\b(?:vam )?(?:nepomohu|nemohu pomoci|nedokazu pomoci|neumim pomoci|nemuzu pomoct)\b", r"pozadavkem pomoci nedokazu", r"pomoci (?:bohuzel )?(?:nedokazu|nemohu|neumim|nemuzu)\b",
-    r"na (?:tuto|tento|vasi|vas) (?:otazku|dotaz) (?:bohuzel )?(?:nemohu|nedokazu|neumim|nesmim|nelze)", r"\bna dotazy .*\bneodpovid", r"\bneodpovidam\b", r"\bnemohu (?:na )?.*odpovedet", r"\bodpovedet (?:bohuzel )?nemohu",
-    r"\bmimo rozsah\b", r"\bnepristusi\b|\bneprislusi\b", r"\bnejsem (?:opravnen|schopen|kompetentni)", r"\bneni v mych (?:silach|moznostech)", r"\bvam nereknu\b|\bto nereknu\b", r"\bje mi to zakazano\b", r"\bnerozumim (?:vasemu|vasi|tomuto|teto|dotazu|otazce)", r"\bnedokazu vam (?:poskytnout|poradit|odpovedet|pomoci)", r"\bneumim (?:vam )?(?:odpovedet|poradit|pomoci)\b", r"\bnevim\b", r"\bto nevim\b", r"\bnesmim\b",
-    r"\bneviem\b", r"\bnemozem\b", r"\bnemam (?:ziadne )?informacie", r"\bnedokazem\b",
-    r"\bi (?:cannot|can t|can not|could not|am not able|m not able|am unable|m unable)\b", r"\bunable to (?:help|answer|assist)", r"\bi (?:have no|do not have|don t have) (?:any )?information", r"\bi (?:do not|don t) know", r"\boutside of what i can", r"\bnot able to answer", r"\bno information about",
-    r"\bkann ich (?:diese frage |ihnen |leider |dazu )*(?:nicht|keine)\b", r"\bnicht beantworten\b", r"\bkeine (?:informationen|auskunft|antwort)", r"\bweis ich nicht", r"\bnicht weiterhelfen",
-    r"\bnie (?:moge|potrafie|wiem|znam|mam)\b", r"\bnie mam (?:zadnych )?informacji", r"\bnie jestem (?:w stanie|upowazniony)",
-])
+# First persons that decline by themselves, folded.
+DECLINING = set(
+    "nevim netusim neporadim nepomohu nepomuzu nezodpovim neodpovim neodpovidam nereknu nesdelim nedisponuji nepodam nesmim neposlouzim "
+    "neviem netusim neporadim nepomozem neodpoviem neodpovedam nepoviem nesmiem nedisponujem nie_wiem nie_odpowiem nie_pomoge nie_doradze nie_powiem".split()
+)
+# First persons that decline together with a word of asking, knowing or helping, folded.
+UNABLE = set(
+    "neznam nemam nemame neumim nedokazu nemohu nemuzu nemuzeme nejsem nejsme neposkytuji neposkytujeme nenasel nenasla nenalezl nenalezla nerozumim nelze neni nepatri neprislusi nepristusi zakazano "
+    "nepoznam nemame neviem nedokazem nemozem nemozeme nie_som neposkytujem nenasiel nenasla nerozumiem nie_je nepatri neprislucha zakazane "
+    "nie_znam nie_mam nie_moge nie_potrafie nie_umiem nie_jestem nie_posiadam nie_rozumiem nie_udzielam "
+    "cannot can_not can_t could_not couldn_t unable not_able do_not don_t not_allowed no not nicht kein keine keinen ne_peux ne_sais ne_suis no_puedo no_se no_tengo non_posso non_so nem_tudok nem_tudom".split()
+)
+# Beginnings of the words that an assistant's knowing, answering and helping is about, folded.
+ABOUT = tuple(
+    "odpoved otazk otazc dotaz informac udaj podklad tema tematu temat zodpoved odpovid poradit poradenst pomoc pomoct pomoci znam komentovat sdelovat opravnen schopen kompeten rozsah silach moznostech vedet pozadavk reknu odpovedat odpovedet pravidl "
+    "otazku informacie temu pomoct poradit povedat znalost odpowied odpowiedz pytan informacj pomoc temat wiedz upowaznion stanie "
+    "help answer assist know information advise comment outside scope beyond question topic able tell provide discuss respond qualified "
+    "beantwort helf weiterhelf auskunft information antwort frage weiss thema sagen beraten befugt "
+    "reponse repondre aider question respuesta responder ayudar pregunta rispondere aiutare risposta domanda segiteni valaszol valaszt kerdes".split()
+)
+# Words that decline wherever a sentence has them, folded.
+ALOOF = re.compile(r"\bmimo (?:rozsah|moje|me|mou|nase)|\bnad ramec\b|\bbeyond (?:my|the scope)|\boutside (?:of )?(?:what|my|the scope)|\bje mi to zakazano\b|\bk tomu(?:to tematu)? nemam\b|\b(?:ani )?nic (?:mi )?neni (?:o tom )?znamo\b|\bneni (?:mi )?(?:o tom )?nic znamo\b|\bkann ich .*\b(?:nicht|keine)\b|\bweis+ ich nicht\b")
+# Negations that belong to the word after them.
+_TWO = re.compile(r"\b(nie|can|could|couldn|do|don|not|ne|no|non|nem) (wiem|odpowiem|pomoge|doradze|powiem|som|je|znam|mam|moge|potrafie|umiem|jestem|posiadam|rozumiem|udzielam|not|t|able|allowed|peux|sais|suis|puedo|se|tengo|posso|so|tudok|tudom)\b")
 # What may follow a refusal without answering anything, folded.
 DEFERRAL = r"^(?:obratte se|obratte sa|zeptejte se|zkuste|kontaktujte|prosim (?:obratte|kontaktujte|zkuste)|please (?:contact|try|ask)|try |contact |bitte (?:wenden|kontaktieren|fragen)|wenden sie|prosze (?:skontaktowac|zwrocic)|skuste|jako virtualni asistent|as (?:a|an) (?:virtual|ai) )"
-# Abbreviations with a dot that want a word after them, folded.
-OPEN_ABBREVIATION = r"(?iu)(?:^|[\s(])(?:č|čís|např|tzv|tj|ul|nám|str|odst|písm|tel|resp|popř|příp|vč|zák|sb|mj|kap|čl|nr|no|e\.g|i\.e|bzw|np)\.$"
-PHONE_OR_LINK = r"(?iu)(?:[\d)][\d\s  /.()-]{5,}\d|https?://\S+|www\.\S+|\S+@\S+\.\w+|\]\(\S+\))[)\]>*_\"“”']*$"
+_COURTESY, _DEFERRAL, _NOTHING, _LEAD_IN = (re.compile(p) for p in (COURTESY, DEFERRAL, NOTHING, LEAD_IN))
+_ASKED = {language: re.compile(p) for language, p in REQUESTS.items()}
+_NEGATIVE = re.compile(r"\bne|\bno\b|\bnot\b|\bnon\b|\bnie\b|nicht|\bkein|cannot|can t|don t|unable|mimo|zakaz|nad ramec|outside|beyond|weis")
+
+_MARKS = re.compile("[\u0300-\u036f\u1ab0-\u1aff\u1dc0-\u1dff\u20d0-\u20ff]+")
+_WORD, _LETTERS = re.compile(r"[^\W_]+"), re.compile(r"[^\W\d_]+")
+_MARKUP = re.compile(r"(?s)<!--.*?-->|<[^<>]*>|&nbsp;|&#160;")
+_SENTENCE = re.compile(r"[\r\n]+|(?<=[.!?])\s+|(?<=[.!?][\"“”')])\s+")
+_QUOTED = re.compile(r"„[^“”\"]*[“”\"]|\"[^\"\n]*\"|“[^”\n]*”|»[^«\n]*«|https?://\S+|\]\([^)]*\)")
+_SCRIPT = {name: re.compile(f"[{span}]") for name, span in SCRIPTS.items()}
+
+
+def fold(text: str) -> str:
+    """Lower-case words without diacritics, one blank between them, nothing else."""
+    low = text.lower() if text.isascii() else _MARKS.sub("", unicodedata.normalize("NFKD", text.lower())).translate(_BARRED)
+    return " ".join(_WORD.findall(low))
+
+
+_KNOWN_WORDS = set(_SPEAKERS)
+for _language, _words in FURTHER.items():
+    for _w in _words.split():
+        if _w not in _KNOWN_WORDS:
+            _SPEAKERS.setdefault(_w, []).append(_language)
 
 
 @lru_cache(65536)
 def _speakers(word: str) -> list[str]:
     """The languages a word speaks for, twice those whose letters it has."""
-    low = word.lower()
-    plain = "".join(c for c in unicodedata.normalize("NFKD", low.translate(_BARRED)) if not unicodedata.combining(c))
     # words without a capital only: place names keep their letters in every language
-    own = [c for c, letters in LETTERS.items() if word[0] == low[0] and not letters.isdisjoint(word)]
-    return _SPEAKERS.get(plain, []) + own * 2
+    own = [c for c, letters in LETTERS.items() if word[0].islower() and not letters.isdisjoint(word)]
+    return _SPEAKERS.get(fold(word), []) + own * 2
+
+
+def _clear(hits: Counter, least: int, margin: float) -> str | None:
+    ranked = hits.most_common(2)
+    return ranked[0][0] if ranked and ranked[0][1] >= least and (len(ranked) == 1 or ranked[0][1] > margin * ranked[1][1]) else None
 
 
 def guess_language(text: str | None) -> str | None:
-    """A language code, a script's name, or None where less than two words speak for one alone."""
+    """A language code, a script's name, or None where neither words nor letter groups speak for one alone."""
     if not text:
         return None
-    letters = sum(map(str.isalpha, text))
-    for name, span in SCRIPTS.items():
-        if 2 * len(re.findall(f"[{span}]", text)) > letters > 0:
-            return name
+    if not text.isascii() and any(ord(c) > 0x24F and c.isalpha() for c in text):
+        letters = sum(map(str.isalpha, text))
+        for name, script in _SCRIPT.items():
+            if 2 * len(script.findall(text)) > letters > 0:
+                return name
+    words = _LETTERS.findall(text)
     hits = Counter()
-    for word in re.findall(r"[^\W\d_]+", text):
+    for word in words:
         hits.update(_speakers(word))
-    ranked = hits.most_common(2)
-    return ranked[0][0] if ranked and ranked[0][1] > 1 and (len(ranked) == 1 or ranked[0][1] > ranked[1][1]) else None
+    found = _clear(hits, 2, 1.0)
+    if found or len(words) < 4:
+        return found
+    plain = " ".join(w for w in words if w[0].islower())
+    return _clear(Counter({c: n for c, groups in GROUPS.items() if (n := sum(plain.count(g) for g in groups.split()))}), 5, 1.5)
 
 
-@F.pandas_udf(T.StringType())
-def language(text: pd.Series) -> pd.Series:
-    return text.map(guess_language, na_action="ignore").astype(object)
+def is_empty(answer: str | None) -> bool:
+    if answer is None:
+        return True
+    if len(answer) > 200 and "<" not in answer:
+        return not any(map(str.isalnum, answer))
+    return bool(_NOTHING.match(fold(ROLE.sub("", _MARKUP.sub(" ", answer)))))
 
 
-def _is_empty(answer: Column) -> Column:
-    bare = F.regexp_replace(F.regexp_replace(answer, r"(?is)<!--.*?-->|<[^<>]*>|&nbsp;|&#160;", " "), ROLE, "")
-    return answer.isNull() | folded(bare).rlike(NOTHING)
+def is_copy(words: str, question: str) -> bool:
+    """Nothing is left once lead-ins and the question, however often and however cut off at the end, are taken out."""
+    if not question or not words or len(words) > 20 * len(question) + 2000:
+        return False
+    for bare in (f" {words} ", f" {_LEAD_IN.sub(' ', words)} "):
+        rest = " ".join(bare.replace(f" {question} ", "  ").replace(f" {question} ", "  ").split())
+        if rest == bare.strip():
+            # not even once; the beginning of the question is a copy if it's half of it
+            if rest and len(rest) * 2 >= len(question) and question.startswith(rest):
+                return True
+        elif not rest or question.startswith(rest) or not _LEAD_IN.sub(" ", rest).strip():
+            return True
+    return False
 
 
-def _is_copy(words: Column, question: Column) -> Column:
-    """Nothing is left once lead-ins and the question, however often, are taken out."""
-    rest = F.trim(F.regexp_replace(F.replace(F.concat(F.lit(" "), F.regexp_replace(words, LEAD_IN, " "), F.lit(" ")), F.concat(F.lit(" "), question, F.lit(" ")), F.lit("  ")), r"\s+", " "))
-    unled = F.trim(F.regexp_replace(F.regexp_replace(words, LEAD_IN, " "), r"\s+", " "))
-    once = F.trim(F.regexp_replace(F.replace(unled, question, F.lit(" ")), r"\s+", " "))
-    prefix = (F.length(unled) * 2 >= F.length(question)) & F.startswith(question, unled)
-    return (F.length(question) > 0) & (F.length(unled) > 0) & ((rest == "") | (once == "") | prefix)
+def declines(sentence: str) -> bool:
+    """Whether a folded sentence says that the speaker can't or won't answer."""
+    if not _NEGATIVE.search(sentence):
+        return False
+    if ALOOF.search(sentence):
+        return True
+    words = _TWO.sub(r"\1_\2", sentence).split()
+    if not DECLINING.isdisjoint(words):
+        return True
+    return not UNABLE.isdisjoint(words) and any(w.startswith(ABOUT) for w in words)
 
 
-def _is_refusal(answer: Column, words: Column) -> Column:
+def is_refusal(answer: str, words: str) -> bool:
     """At least one sentence declines and no other one says anything."""
-    parts = F.split(F.regexp_replace(answer, r"[\r\n]+", ". "), r"(?<=[.!?])\s+|(?<=[.!?][\"“”')])\s+")
-    said = F.filter(F.transform(parts, folded), lambda s: s != "")
-    silent = F.forall(said, lambda s: s.rlike(REFUSAL) | s.rlike(COURTESY) | s.rlike(DEFERRAL))
-    return words.rlike(REFUSAL) & silent
+    if not _NEGATIVE.search(words):
+        return False
+    refused = False
+    for part in _SENTENCE.split(answer):
+        s = fold(part)
+        if not s:
+            continue
+        if declines(s):
+            refused = True
+        elif not _COURTESY.match(s) and not _DEFERRAL.match(s):
+            return False
+    return refused
+
+
+# Abbreviations with a dot that want a word after them.
+OPEN_ABBREVIATION = re.compile(r"(?i)(?:^|[\s(])(?:č|čís|např|tzv|tj|ul|nám|str|odst|písm|tel|resp|popř|příp|vč|zák|sb|mj|kap|čl|nr|no|e\.g|i\.e|bzw|np)\.$")
+PHONE_OR_LINK = re.compile(r"(?i)(?:[\d)][\d\s  /.()-]{5,}\d|https?://\S+|www\.\S+|\S+@\S+\.\w+|\]\(\S+\))[)\]>*_\"“”']*$")
+_STOP = re.compile(r"[.!?…][\"“”')\]*_\s]*$")
+# emoji and other symbols end a line as well as a full stop
+_SMILE = re.compile(r"[\u2190-\u2bff\ufe0f\U0001f000-\U0001faff]$|[:;]-?\)$")
+_MARKER = re.compile(r"(?i)^(?:[-*•+]|\d+[.)])\s*$|^(?:[-*•+])?$|[,:;–—(\[-]$|(?:^|\s)(?:a|i|o|u|v|s|z|k|na|do|od|po|za|že|nebo|ale|který|která|které|kterou|je|jsou|the|and|or|of|to|und|oder|die|der|alebo|oraz|w)$")
+_ITEM = re.compile(r"\n\s*(?:[-*•+]|\d+[.)])\s+[^\n]*$")
+_TAG_CUT = re.compile(r"<(?:[a-zA-Z/][^<>]*)?$")
+_BLANKS = " \t\r\n\f\v\xa0\u2002\u2003\u2009\u202f\u3000\u200b\ufeff"
 
 
-def _is_truncated(answer: Column) -> Column:
-    text = F.regexp_replace(answer, r"[\s ​]+$", "")
-    last = F.trim(F.regexp_extract(text, r"([^\n]*)$", 1))
-    count = lambda p: F.regexp_count(text, F.lit(p))
+def _left_open(text: str, opening: str, closing: str) -> bool:
+    """Whether an opening bracket has no closing one anywhere after it."""
+    return text.rfind(opening) > text.rfind(closing)
+
+
+def is_truncated(answer: str) -> bool:
+    text = answer.rstrip(_BLANKS)
+    last = text.rsplit("\n", 1)[-1].strip()
     dangling = (
-        (count(r"\((?![^()]*\))") > 0)
-        | (count(r"\[(?![^\[\]]*\])") > 0)
-        | (count(r"\*\*") % 2 == 1)
-        | (count(r"```") % 2 == 1)
-        | (count("„") > count("[“”\"]"))
-        | (count(r"<(?:[a-zA-Z/][^<>]*)?$") > 0)
+        _left_open(text, "(", ")") and not last.endswith((":(", ";("))
+        or _left_open(text, "[", "]")
+        or text.count("**") % 2 == 1
+        or text.count("```") % 2 == 1
+        or "„" in text and text.count("„") > sum(map(text.count, "“”\""))
+        or bool(_TAG_CUT.search(text, max(0, text.rfind("<"))))
     )
-    stops = last.rlike(r"[.!?…][\"“”')\]*_\s]*$") & ~last.rlike(OPEN_ABBREVIATION)
-    # emoji and other symbols end a line as well as a full stop
-    symbol = last.rlike(r"[\p{So}\p{Sk}️]$|[\x{1F300}-\x{1FAFF}]$|[:;]-?\)$")
-    marker = last.rlike(r"^(?:[-*•+]|\d+[.)])\s*$|^(?:[-*•+])?$|[,:;–—(\[-]$") | last.rlike(r"(?iu)(?:^|\s)(?:a|i|o|u|v|s|z|k|na|do|od|po|za|že|nebo|ale|který|která|které|kterou|je|jsou|the|and|or|of|to|und|oder|die|der|alebo|oraz|w)$")
-    item = text.rlike(r"\n\s*(?:[-*•+]|\d+[.)])\s+[^\n]*$") | last.rlike(r"^\|.*\|$")
-    short = F.size(F.split(F.trim(last), r"\s+")) <= 3
-    alone = ~text.rlike(r"\n") & short
-    fine = stops | symbol | last.rlike(PHONE_OR_LINK) | ((item | alone) & ~marker)
-    return dangling | ~fine
+    if dangling:
+        return True
+    if _STOP.search(last) and not OPEN_ABBREVIATION.search(last) or _SMILE.search(last) or PHONE_OR_LINK.search(last):
+        return False
+    item = bool(_ITEM.search(text, max(0, text.rfind("\n")))) or last.startswith("|") and last.endswith("|") and len(last) > 1
+    alone = "\n" not in text and len(last.split()) <= 3
+    return not ((item or alone) and not _MARKER.search(last))
+
+
+RULES = ("empty", "copy", "refusal", "wrong_language", "truncated")
+
+
+def triggered(question: str | None, answer: str | None, default_language: str = "cs") -> list[str]:
+    """Every rule of ``RULES`` that a pair triggers, in their order."""
+    out = []
+    if is_empty(answer):
+        out.append("empty")
+    if answer is None:
+        return out
+    q, a = ROLE.sub("", question or "").strip(), ROLE.sub("", answer)
+    asked, said = fold(q), fold(a)
+    if is_copy(said, asked):
+        out.append("copy")
+    if is_refusal(a, said):
+        out.append("refusal")
+    if asked:
+        spoken = guess_language(_QUOTED.sub(" ", a))
+        if spoken and spoken != (guess_language(q) or default_language) and not (spoken in _ASKED and _ASKED[spoken].search(asked)):
+            out.append("wrong_language")
+    if is_truncated(a):
+        out.append("truncated")
+    return out
 
 
 def judged(pairs: DataFrame, default_language: str = "cs") -> DataFrame:
@@ -149,23 +269,18 @@ def judged(pairs: DataFrame, default_language: str = "cs") -> DataFrame:
     A question too short to tell its language has ``default_language``; an answer too short to tell never
     is ``wrong_language``. Equal rows give equal results, an empty table none; further columns are ignored.
     """
-    bare_q = F.trim(F.regexp_replace(F.coalesce("question", F.lit("")), ROLE, ""))
-    bare_a = F.regexp_replace(F.col("answer"), ROLE, "")
-    spoken = F.regexp_replace(bare_a, r"„[^“”\"]*[“”\"]|\"[^\"\n]*\"|“[^”\n]*”|»[^«\n]*«|https?://\S+|\]\([^)]*\)", " ")
-    t = spread(pairs.select("pair_id", "question", "answer")).select("pair_id", "answer", bare_q.alias("q"), bare_a.alias("a"), spoken.alias("spoken"))
-    t = t.withColumns({"ql": language(F.col("q")), "al": language(F.col("spoken"))})
-    t = t.select("pair_id", "answer", "a", F.inline(F.array(F.struct(folded("q").alias("qw"), folded("a").alias("aw"), F.col("ql"), F.col("al")))))
-    asked = reduce(lambda c, kv: c | ((F.col("al") == kv[0]) & F.col("qw").rlike(kv[1])), REQUESTS.items(), F.lit(False))
-    foreign = F.col("al").isNotNull() & (F.col("al") != F.coalesce("ql", F.lit(default_language))) & (F.length("qw") > 0) & ~asked
-    rules = [
-        ("empty", _is_empty(F.col("answer"))),
-        ("copy", _is_copy(F.col("aw"), F.col("qw"))),
-        ("refusal", _is_refusal(F.col("a"), F.col("aw"))),
-        ("wrong_language", foreign),
-        ("truncated", _is_truncated(F.col("a"))),
-    ]
-    hit = F.array(*[F.when(F.coalesce(rule, F.lit(False)), F.struct(F.lit(name).alias("defect_type"), F.lit(i).alias("rank"))) for i, (name, rule) in enumerate(rules, 1)])
-    return t.select("pair_id", F.inline(F.array_compact(hit)))
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, defects, ranks = [], [], []
+            for pair, question, answer in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                for defect in triggered(question, answer, default_language):
+                    ids.append(pair)
+                    defects.append(defect)
+                    ranks.append(RULES.index(defect) + 1)
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(defects, pa.string()), pa.array(ranks, pa.int32())], ["pair_id", "defect_type", "rank"])
+
+    return spread(pairs.select("pair_id", "question", "answer")).mapInArrow(judge, "pair_id bigint, defect_type string, rank int")
 
 
 def defects(pairs: DataFrame, default_language: str = "cs") -> DataFrame:
