@@ -11,6 +11,7 @@ import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -98,8 +99,9 @@ _NEGATIVE = re.compile(r"\bne|\bno\b|\bnot\b|\bnon\b|\bnie\b|nicht|\bkein|cannot
 _MARKS = re.compile("[\u0300-\u036f\u1ab0-\u1aff\u1dc0-\u1dff\u20d0-\u20ff]+")
 _WORD, _LETTERS = re.compile(r"[^\W_]+"), re.compile(r"[^\W\d_]+")
 _MARKUP = re.compile(r"(?s)<!--.*?-->|<[^<>]*>|&nbsp;|&#160;")
-_SENTENCE = re.compile(r"[\r\n]+|(?<=[.!?])\s+|(?<=[.!?][\"“”')])\s+")
+_SENTENCE = re.compile(r"[\r\n]\s*|[.!?][\"“”')]?\s+")
 _QUOTED = re.compile(r"„[^“”\"]*[“”\"]|\"[^\"\n]*\"|“[^”\n]*”|»[^«\n]*«|https?://\S+|\]\([^)]*\)")
+_NOT_LATIN = re.compile("[\u0370-\u1dff\u2c60-\ud7ff]")
 _SCRIPT = {name: re.compile(f"[{span}]") for name, span in SCRIPTS.items()}
 
 
@@ -133,16 +135,13 @@ def guess_language(text: str | None) -> str | None:
     """A language code, a script's name, or None where neither words nor letter groups speak for one alone."""
     if not text:
         return None
-    if not text.isascii() and any(ord(c) > 0x24F and c.isalpha() for c in text):
+    if not text.isascii() and _NOT_LATIN.search(text):
         letters = sum(map(str.isalpha, text))
         for name, script in _SCRIPT.items():
             if 2 * len(script.findall(text)) > letters > 0:
                 return name
     words = _LETTERS.findall(text)
-    hits = Counter()
-    for word in words:
-        hits.update(_speakers(word))
-    found = _clear(hits, 2, 1.0)
+    found = _clear(Counter(chain.from_iterable(map(_speakers, words))), 2, 1.0)
     if found or len(words) < 4:
         return found
     plain = " ".join(w for w in words if w[0].islower())
@@ -159,7 +158,10 @@ def is_empty(answer: str | None) -> bool:
 
 def is_copy(words: str, question: str) -> bool:
     """Nothing is left once lead-ins and the question, however often and however cut off at the end, are taken out."""
-    if not question or not words or len(words) > 20 * len(question) + 2000:
+    if not question or not words:
+        return False
+    # a copy has the question, or begins with a lead-in or as the question does
+    if question not in words and not _LEAD_IN.match(words) and not question.startswith(words[:8]):
         return False
     for bare in (f" {words} ", f" {_LEAD_IN.sub(' ', words)} "):
         rest = " ".join(bare.replace(f" {question} ", "  ").replace(f" {question} ", "  ").split())
@@ -184,13 +186,14 @@ def declines(sentence: str) -> bool:
     return not UNABLE.isdisjoint(words) and any(w.startswith(ABOUT) for w in words)
 
 
-def is_refusal(answer: str, words: str) -> bool:
+def is_refusal(answer: str) -> bool:
     """At least one sentence declines and no other one says anything."""
-    if not _NEGATIVE.search(words):
-        return False
-    refused = False
-    for part in _SENTENCE.split(answer):
-        s = fold(part)
+    refused, at = False, 0
+    # sentence by sentence: the first one that says something ends it
+    while at < len(answer):
+        m = _SENTENCE.search(answer, at)
+        s = fold(answer[at : m.end()] if m else answer[at:])
+        at = m.end() if m else len(answer)
         if not s:
             continue
         if declines(s):
@@ -226,13 +229,13 @@ def is_truncated(answer: str) -> bool:
         or text.count("**") % 2 == 1
         or text.count("```") % 2 == 1
         or "„" in text and text.count("„") > sum(map(text.count, "“”\""))
-        or bool(_TAG_CUT.search(text, max(0, text.rfind("<"))))
+        or "<" in text and bool(_TAG_CUT.search(text, text.rfind("<")))
     )
     if dangling:
         return True
-    if _STOP.search(last) and not OPEN_ABBREVIATION.search(last) or _SMILE.search(last) or PHONE_OR_LINK.search(last):
+    if _STOP.search(last) and not OPEN_ABBREVIATION.search(last[-16:]) or _SMILE.search(last[-3:]) or PHONE_OR_LINK.search(last):
         return False
-    item = bool(_ITEM.search(text, max(0, text.rfind("\n")))) or last.startswith("|") and last.endswith("|") and len(last) > 1
+    item = "\n" in text and bool(_ITEM.search(text, text.rfind("\n"))) or last.startswith("|") and last.endswith("|") and len(last) > 1
     alone = "\n" not in text and len(last.split()) <= 3
     return not ((item or alone) and not _MARKER.search(last))
 
@@ -251,7 +254,7 @@ def triggered(question: str | None, answer: str | None, default_language: str =
     asked, said = fold(q), fold(a)
     if is_copy(said, asked):
         out.append("copy")
-    if is_refusal(a, said):
+    if is_refusal(a):
         out.append("refusal")
     if asked:
         spoken = guess_language(_QUOTED.sub(" ", a))
