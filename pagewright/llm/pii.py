@@ -100,7 +100,6 @@ _DOT = rf"(?:\.|{S}?[\[({{]{S}?(?:dot|DOT|tečka|tecka|bod|punkt|\.){S}?[\])}}]{
 #: a sign with blanks around it counts where a dotted name follows, which prices ("41 ks @ 356 Kč") don't have
 _APART = rf"(?:{S}@{S}|@{S})(?=[A-Za-z0-9\-]+(?:{_DOT}[A-Za-z0-9\-]+)*{_DOT}[A-Za-z]{{2}})"
 _EMAIL = re.compile(rf"(?<![\w.+\-])[A-Za-z0-9](?:[A-Za-z0-9._+\-]|%)*(?:{_AT}|{_APART})[A-Za-z0-9](?:[A-Za-z0-9\-]*)(?:{_DOT}[A-Za-z0-9][A-Za-z0-9\-]*)+")
-_EMAIL_HINT = re.compile(r"(?<=\w) ?[\[({<] ?(?:at|AT|@|zavin|ZAVIN)|(?<=\w)[  ](?:zavin|ZAVIN|AT[  ])")
 _DISGUISES = ("(at", "[at", "{at", "<at", "( at", "[ at", "(AT", "[AT", "[@", "(@", "zavin", "ZAVIN", " AT ")
 #: runs of digits with the separators that numbers of people have
 _NUMBER = re.compile(rf"(?<![\w/.\-+])(?:\(?(?:\+|00)(?:420|421|49|43|48|44|36|1){S}?\)?{S}?)?\(?\d(?:\)?(?:{S}?/{S}?|[.\-]|{S})?\d){{7,11}}(?![\w]|[/\-]\d|[.,]\d)")
@@ -109,6 +108,7 @@ CARD_DIGITS = range(13, 20)
 _IBAN = re.compile(rf"(?<![\w])[A-Z]{{2}}\d\d(?:{S}?[A-Z0-9]{{4}}){{2,7}}(?:{S}?[A-Z0-9]{{1,3}})?(?![\w])")
 _ACCOUNT = re.compile(r"[A-Z]{2}\d{2}[A-Z0-9]{10,30}")
 _LONG_RUN = re.compile(rf"(?<![\w])\d(?:(?:[.\-/]|{S})?\d){{12,}}(?![\w])")
+_BARE = re.compile(r"[\s|;:,\-–*•]*")
 _DATE = re.compile(r"\d{1,2}\.\s?\d{1,2}\.\s?\d{4}|\d{4}-\d\d-\d\d")
 _MONEY = re.compile(r"[  ]?(?:Kč|EUR|CZK|ks\b|korun)")
 _BIRTH = re.compile(rf"^\d{{6}}(?:{S}?/{S}?|{S})?\d{{3,4}}$")
@@ -120,9 +120,9 @@ _SHORT = rf"(?:[{UP}]|nám|Nám|tř|nábř|sv|Sv|gen|Gen|kpt|Kpt|dr|Dr|arm|mjr|p
 _ADDRESS = re.compile(rf"(?<![\w.])((?:(?:{_SHORT}|náměstí|třída|nábřeží|[{UP}][{LOW}]*){S}?(?<=[ \.])){{0,4}}?(?:[{UP}][{LOW}]+|(?<= )(?:třída|ulice|náměstí|nábřeží)){S})((?:č(?:\.{S}?p\.|p\.|\.|íslo){S}?)?\d{{1,4}}[a-z]?(?:/\d{{1,4}}[a-z]?)?)(?![\w]|[.,:]\d|-\d|{S}?(?:%|Kč|EUR|ks|let|dní|dnů|hod|míst|m\b|km|metr|ročně|osob|million|crowns|Kronen)|{S}\d{{3}}\b)")
 _POSTCODE = re.compile(rf"^,{S}*\d{{3}}{S}?\d{{2}}{S}+[{UP}]")
 _CAPITAL = re.compile(rf"[{UP}][{UP}{LOW}]*(?:-[{UP}][{UP}{LOW}]+)?")
-_GAP = re.compile(rf"^{S}+$")
-_TITLED = re.compile(rf"(?<!\w){TITLE}{S}+(?=[{UP}])")
-_ADDRESSED = re.compile(rf"(?<!\w)(?:{'|'.join(sorted(ADDRESSED | {a.capitalize() for a in ADDRESSED}, key=len, reverse=True))})\.?{S}+(?=[{UP}])")
+_TITLED = re.compile(rf"(?<!\w){TITLE}{S}+$")
+#: forms of address as in ADDRESSED; a set at the beginning lets most of a text be passed over
+_ADDRESSED = re.compile(rf"[PpSsHhFfMm](?:an(?:a|u|e|em|í|i)?|án(?:a|ovi)?|leč(?:na|ny|ně|nu|nou)|errn?|rau|rs?|iss|s|l)?\.?{S}+(?=[{UP}])")
 _SENTENCE_WORDS = {"Starosta", "Místostarosta", "Zapsal", "Referent", "Odbor", "Rada", "Obec", "Město", "Městský", "Úřad", "Ulice", "Tel", "Dne", "Na", "V", "Za", "Pod", "U", "Dotazy", "Kontakt", "Most", "Podle", "Kraj", "Datová", "Usnesení", "Spolek", "Společnost", "Svoz", "Pozemek", "Snímky", "Kapacita", "Náklady", "Jednání", "Kronika", "Uzavírka", "Dodavatel", "Do", "Setkání", "Spor", "Výstava", "Smlouva", "Poruchy", "Fax", "Mobil", "Bližší", "Volejte", "Trvale", "Bydliště", "Korespondenci", "Sídlo", "Dům", "Rodné", "Číslo", "Totožnost", "Žádost", "Prodávající"}
 
 
@@ -157,6 +157,19 @@ def birth_number(digits: str) -> bool:
     return int(digits) % 11 == 0 or (int(digits[:9]) % 11 == 10 and digits[9] == "0")
 
 
+def _disguised(text: str) -> Iterator[int]:
+    """Places right after a name where a sign written in words or brackets may begin."""
+    for sign in _DISGUISES:
+        at = text.find(sign)
+        while at >= 0:
+            start = at
+            while start and (text[start - 1] in _BLANKS or text[start - 1] in "([{<"):
+                start -= 1
+            if start and text[start - 1].isalnum() and (start < at or sign[0] in "([{< "):
+                yield start
+            at = text.find(sign, at + 1)
+
+
 def _emails(text: str) -> Iterator[tuple[int, int, float]]:
     signs, at = [], text.find("@")
     while at >= 0:
@@ -167,7 +180,7 @@ def _emails(text: str) -> Iterator[tuple[int, int, float]]:
             signs.append(at)
         at = text.find("@", at + 1)
     if any(x in text for x in _DISGUISES):
-        signs = sorted({*signs, *(m.start() for m in _EMAIL_HINT.finditer(text))})
+        signs = sorted({*signs, *_disguised(text)})
     done = 0
     for sign in signs:
         if sign < done:
@@ -178,14 +191,15 @@ def _emails(text: str) -> Iterator[tuple[int, int, float]]:
             low -= 1
         while low > done and _NAME_SIGN(text[low - 1]):
             low -= 1
-        for m in _EMAIL.finditer(text, low):
-            s, e = m.span()
+        while low < sign and not text[low].isalnum():
+            low += 1
+        if m := _EMAIL.match(text, low):
+            e = m.end()
             while text[e - 1] in ".-":
                 e -= 1
-            if s <= sign < e:
-                yield s, e, 1.0
+            if sign < e:
+                yield low, e, 1.0
                 done = e
-            break
 
 
 def _refuted(text: str) -> list[tuple[int, int]]:
@@ -201,12 +215,10 @@ def _refuted(text: str) -> list[tuple[int, int]]:
 
 
 def _numbers(text: str) -> Iterator[tuple[int, int, str, float]]:
-    refuted = _refuted(text)
+    refuted = None
     for m in _NUMBER.finditer(text):
         s, e = m.span()
         raw = m[0]
-        if refuted and any(a < e and s < b for a, b in refuted):
-            continue
         digits = re.sub(r"\D", "", raw)
         foreign = raw.lstrip("(").startswith(("+", "00"))
         if not foreign and not 8 <= len(digits) <= 10:
@@ -238,7 +250,11 @@ def _numbers(text: str) -> Iterator[tuple[int, int, str, float]]:
         shape = bool(re.search(r"\d[^\d]\d", raw.lstrip("(+")))
         hint = 0.5 if _PHONE_HINT.search(line) else 0.0
         if foreign and 7 <= len(national) <= 12 or len(national) == 9 and national[0] in "234567":
-            alone = bool(re.fullmatch(rf"[\s|;:,\-–*•]*", line)) or line.rstrip().endswith((";", "|", ":", ","))
+            # the account and card numbers of a text are looked for once it has a phone
+            refuted = _refuted(text) if refuted is None else refuted
+            if any(a < e and s < b for a, b in refuted):
+                continue
+            alone = bool(_BARE.fullmatch(line)) or line.rstrip().endswith((";", "|", ":", ","))
             yield s, e, "phone", (1.0 if foreign else 0.8 if shape else 0.5) + hint + (0.6 if alone else 0.0) - penalty
 
 
@@ -273,14 +289,21 @@ def _addresses(text: str) -> Iterator[tuple[int, int, float]]:
         yield s, e, score
 
 
+def _is_gap(between: str) -> bool:
+    return between in _BLANKS or between != "" and not between.strip(" \xa0\t")
+
+
 def _persons(text: str) -> Iterator[tuple[int, int, float]]:
     caps = [(m.start(), m.end(), m[0]) for m in _CAPITAL.finditer(text) if m.start() == 0 or not (text[m.start() - 1].isalnum() or text[m.start() - 1] in "@_-/.")]
     n = len(caps)
-    addressed = {m.end() for m in _ADDRESSED.finditer(text)}
-    titled = {m.end() for m in _TITLED.finditer(text)}
+    addressed = {m.end() for m in _ADDRESSED.finditer(text) if not m.start() or not text[m.start() - 1].isalnum() and text[m.start() - 1] != "_"}
+
+    def titled(i: int) -> bool:
+        s = caps[i][0]
+        return s > 1 and text[s - 1] in _BLANKS and bool(_TITLED.search(text[max(0, s - 24) : s]))
 
     def joined(i: int) -> bool:
-        return i + 1 < n and bool(_GAP.match(text[caps[i][1] : caps[i + 1][0]]))
+        return i + 1 < n and _is_gap(text[caps[i][1] : caps[i + 1][0]])
 
     def surname(i: int) -> bool:
         w = caps[i][2]
@@ -311,8 +334,9 @@ def _persons(text: str) -> Iterator[tuple[int, int, float]]:
     while i < n:
         s, e, w = caps[i]
         reversed_name = i + 1 < n and caps[i + 1][2] in _GIVEN
-        if not (w in _GIVEN_ANY or len(w) == 1 or reversed_name or s in addressed or s in titled):
-            if (last := unlisted(i)) is not None:
+        pair = joined(i)
+        if not (w in _GIVEN_ANY or len(w) == 1 or reversed_name or s in addressed or pair and titled(i)):
+            if pair and (last := unlisted(i)) is not None:
                 yield s, caps[last][1], 1.0
                 i = last
             i += 1
@@ -345,7 +369,7 @@ def _persons(text: str) -> Iterator[tuple[int, int, float]]:
             end, last = e, i
             if joined(i) and surname(i + 1) and word not in ("p", "sl"):
                 end, last = caps[i + 1][1], i + 1
-        elif len(w) > 2 and joined(i) and surname(i) and surname(i + 1) and s in titled:
+        elif len(w) > 2 and joined(i) and surname(i) and surname(i + 1) and titled(i):
             end, last = caps[i + 1][1], i + 1
         if end is None:
             i += 1
