@@ -28,24 +28,41 @@ def name_parts(name: Column) -> Column:
     return F.struct(title.alias("title"), F.trim(F.regexp_replace(bare, r"\S+$", "")).alias("first_name"), last.alias("last_name"))
 
 
+PHONE_FIELD = r"^(?:(?i:tel|telefon|phone|mobil|fax)[a-z/. ]*:?\s*)?[+(]?[0-9][0-9 ()/.\-\u00a0]{7,}$"
+
+
 def contact_rows(documents: DataFrame) -> DataFrame:
-    """``doc_id, line_no, name, email, phone``: lines that list a name, an address and a number between marks."""
-    lines = documents.where(F.contains("text", F.lit("@"))).select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    listed = lines.where(F.col("line").rlike(r"[|;]") & F.col("line").rlike(MAIL))
+    """``doc_id, line_no, name, role, department, email, phone``: lines that list people between ``|`` or ``;``.
+
+    A line has any number of fields, two at least, among them an address or a phone number. Those with
+    letters that are neither are the name, the role and the department in this order. Rows without address and name are left out.
+    """
+    lines = documents.where("text IS NOT NULL").select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+    listed = lines.where(F.col("line").rlike(r"[|;]") & F.col("line").rlike(r"\d{3}|@"))
     fields = F.filter(F.transform(F.split(F.regexp_replace("line", r"^[\s\-*•|]+|[\s|]+$", ""), r"\s*[|;]\s*"), lambda x: F.trim(x)), lambda x: x != "")
-    is_mail, is_phone = (lambda x: x.rlike(f"^{MAIL}$")), (lambda x: F.regexp_replace(x, r"[^0-9]", "").rlike(r"^\d{9,14}$"))
+    is_mail, is_phone = (lambda x: x.rlike(f"^{MAIL}$")), (lambda x: x.rlike(PHONE_FIELD) & F.regexp_replace(x, r"[^0-9]", "").rlike(r"^\d{9,14}$"))
     t = listed.select("doc_id", (F.col("pos") + 1).alias("line_no"), F.inline(F.array(F.struct(fields.alias("f")))))
     first = lambda p: F.get(F.filter("f", p), F.lit(0))
-    named = first(lambda x: ~is_mail(x) & ~is_phone(x))
-    return t.where(F.size("f") == 3).select("doc_id", "line_no", named.alias("name"), first(is_mail).alias("email"), phone_number(F.regexp_replace(first(is_phone), r"(?i)^[a-z/. ]*", "")).alias("phone")).where("email IS NOT NULL AND name IS NOT NULL")
+    t = t.where(F.size("f") > 1).select("doc_id", "line_no", F.filter("f", lambda x: ~is_mail(x) & ~is_phone(x) & x.rlike(r"\p{L}")).alias("w"), first(is_mail).alias("email"), first(is_phone).alias("p"))
+    word = lambda i: F.get("w", F.lit(i))
+    rows = t.select("doc_id", "line_no", word(0).alias("name"), word(1).alias("role"), word(2).alias("department"), "email", phone_number(F.regexp_replace("p", r"^[^0-9+(]*", "")).alias("phone"))
+    return rows.where("(email IS NOT NULL OR phone IS NOT NULL) AND (email IS NOT NULL OR name IS NOT NULL)")
 
 
 def best_contacts(rows: DataFrame) -> DataFrame:
-    """One row per address: that with the most filled fields, the later one of equals."""
-    filled = F.when(F.trim("name") != "", 1).otherwise(0) + F.when(F.col("phone").isNotNull(), 1).otherwise(0)
-    key = F.lower("email")
-    row = F.struct("doc_id", "line_no", "name", "phone")
-    return rows.groupBy(key.alias("email")).agg(F.max_by(row, F.struct(filled, "doc_id", "line_no")).alias("r")).select("email", "r.*")
+    """One row per address: that with the most filled fields, the later one of equals.
+
+    Rows without an address are one per name, in any letter case, and phone number: the last. The fields that count are
+    first name, last name, role, department and phone. Folded in each task before the shuffle.
+    """
+    parts = name_parts(F.coalesce("name", F.lit("")))
+    t = rows.select("*", F.inline(F.array(F.struct(parts["first_name"].alias("__first"), parts["last_name"].alias("__last")))))
+    there = lambda c: F.when(F.trim(F.coalesce(F.col(c).cast("string"), F.lit(""))) != "", 1).otherwise(0)
+    filled = there("__first") + there("__last") + there("role") + there("department") + there("phone")
+    order = F.struct(F.when(F.col("email").isNull(), 0).otherwise(filled), "doc_id", "line_no")
+    without = F.when(F.col("email").isNull(), F.struct(F.lower("name").alias("name"), F.col("phone").alias("phone")))
+    row = F.struct("doc_id", "line_no", "name", "role", "department", "phone")
+    return t.groupBy(F.lower("email").alias("email"), without.alias("__other")).agg(F.max_by(row, order).alias("r")).select("email", "r.*")
 
 
 def minutes_of(time: Column) -> Column:

@@ -37,18 +37,46 @@ def delete_removed(target: DataFrame, removed: DataFrame, lookup: str, base: str
     return based.join(gone, "__base", "left_anti").drop("__base"), based.join(gone, "__base", "left_semi").drop("__base")
 
 
-def key_class(key: Column) -> Column:
-    """``legit`` for a bare URL or one with a chunk mark, ``fragment_polluted`` for another fragment before it, else ``unknown``."""
-    mark = r"#(?:PAGE\d+)?chunk[A-Z]+$"
-    return F.when(~F.contains(key, F.lit("#")), "legit").when(key.rlike(rf"^[^#]*{mark}"), "legit").when(key.rlike(mark), "fragment_polluted").otherwise("unknown")
+# Fixed value: the fragments that the engine itself gives to chunks.
+CHUNK_MARK = r"^(?:PAGE\d+)?chunk[A-Z]+$"
 
 
-def key_decisions(keys: DataFrame, key: str) -> DataFrame:
-    """``key, cls, decision``: a polluted key goes only where a legit one of the same page survives."""
-    k = keys.select(F.col(key).alias("key"), key_class(F.col(key)).alias("cls"), F.substring_index(key, "#", 1).alias("page"))
-    legit = k.where("cls = 'legit'").select("page").distinct().withColumn("survives", F.lit(True))
-    joined = k.join(legit, "page", "left")
-    return joined.select("key", "cls", F.when((F.col("cls") == "fragment_polluted") & F.col("survives"), "DELETE").otherwise("KEEP").alias("decision"))
+def key_class(key: Column) -> Column:
+    """What a key's fragments say: ``legit``, ``fragment_polluted`` or ``unknown``.
+
+    One chunk mark alone is legit. A foreign fragment first and a chunk mark last is polluted. Everything else
+    is unknown: a bare URL, a single foreign fragment, a mark before another one.
+    """
+    parts = F.split(key, "#", -1)
+    first, last = F.get(parts, F.lit(1)).rlike(CHUNK_MARK), F.element_at(parts, -1).rlike(CHUNK_MARK)
+    n = F.size(parts) - 1
+    return F.when((n == 1) & first, "legit").when((n > 1) & last & ~first, "fragment_polluted").otherwise("unknown")
+
+
+def key_decisions(keys: DataFrame, key: str, snapshot: DataFrame, url: str) -> DataFrame:
+    """``key, cls, base, base_has_legit, base_in_snapshot, action`` of each distinct key.
+
+    A polluted key is deleted only where its page survives: a legit key of its base is among the keys, or the
+    base is among the snapshot's URLs. The only copy is skipped, as is what is unknown; legit keys are kept.
+    """
+    k = keys.where(F.col(key).isNotNull()).select(F.col(key).alias("key")).distinct().withColumn("cls", key_class(F.col("key")))
+    k = k.withColumn("base", F.when(F.col("cls") != "unknown", F.substring_index("key", "#", 1)))
+    legit = k.where("cls = 'legit'").select("base").distinct().withColumn("__legit", F.lit(True))
+    listed = snapshot.where(F.col(url).isNotNull()).select(F.col(url).alias("base")).distinct().withColumn("__listed", F.lit(True))
+    t = k.join(legit, "base", "left").join(listed, "base", "left").na.fill(False, ["__legit", "__listed"])
+    survives = F.col("__legit") | F.col("__listed")
+    action = F.when(F.col("cls") == "legit", "KEEP").when((F.col("cls") == "fragment_polluted") & survives, "DELETE").otherwise("SKIP")
+    return t.select("key", "cls", "base", F.col("__legit").alias("base_has_legit"), F.col("__listed").alias("base_in_snapshot"), action.alias("action"))
+
+
+def delete_keys(keys: DataFrame, key: str, decisions: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The keys that stay after the decisions, and a row ``would_delete, deleted, left_over`` that verifies it."""
+    gone = decisions.where("action = 'DELETE'").select(F.col("key").alias(key))
+    stay = keys.join(gone, key, "left_anti")
+    there = keys.select(key).distinct()
+    counts = [gone.agg(F.count(F.lit(1)).alias("would_delete")), there.join(gone, key, "left_semi").agg(F.count(F.lit(1)).alias("deleted")), stay.join(gone, key, "left_semi").agg(F.count(F.lit(1)).alias("left_over"))]
+    # three single rows
+    return stay, counts[0].join(F.broadcast(counts[1]), how="cross").join(F.broadcast(counts[2]), how="cross")
 
 
 def newest_versions(files: DataFrame, name: str) -> DataFrame:

@@ -52,12 +52,6 @@ def table_rows(spark: SparkSession, d: str) -> DataFrame:
 
 
 def json_keys(spark: SparkSession, d: str) -> DataFrame:
-    """Top-level keys of JSON files by number of files; broken files have none."""
-    f = table(spark, d, "code_files").where("file_lang = 'json' AND body IS NOT NULL").select("file_id", F.json_object_keys("body").alias("keys"))
-    return f.where("keys IS NOT NULL").select("file_id", F.explode("keys").alias("key")).groupBy("key").agg(F.countDistinct("file_id").alias("n_files"))
-
-
-def json_keys_by_path(spark: SparkSession, d: str) -> DataFrame:
     """Top-level keys of JSON files by number of files, a missing language read off the path."""
     lang = F.coalesce(F.nullif(F.lower(F.trim("file_lang")), F.lit("")), F.lower(F.regexp_extract("file_path", r"\.(\w+)$", 1)))
     f = table(spark, d, "code_files").where((lang == "json") & F.col("body").isNotNull()).select("file_id", F.json_object_keys("body").alias("keys"))
@@ -67,7 +61,6 @@ def json_keys_by_path(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     "token_bands": token_bands, "structure_counts": structure_counts, "page_quality": page_quality, "markdown_cleaned": markdown_cleaned,
     "header_budgets": header_budgets, "first_sentences": first_sentences, "table_rows": table_rows, "json_keys": json_keys,
-    "json_keys_by_path": json_keys_by_path,
 }
 _ENTITY_SQL = "content"
 for _e, _c in docs.ENTITIES:
@@ -95,5 +88,5 @@ r AS (SELECT *, regexp_matches(line, '^\|.*\|$') AS is_row FROM l), q AS (SELECT
 h AS (SELECT *, last_value(CASE WHEN is_row AND NOT prev THEN line END IGNORE NULLS) OVER (PARTITION BY page_id ORDER BY line_no) AS header FROM q),
 c AS (SELECT page_id, line_no, list_transform(string_split(regexp_replace(line, '^\||\|$', '', 'g'), '|'), lambda c : trim(c, ' ')) AS cells, list_transform(string_split(regexp_replace(header, '^\||\|$', '', 'g'), '|'), lambda c : trim(c, ' ')) AS names FROM h WHERE is_row AND prev AND NOT regexp_matches(line, '^\|(?:\s*:?-+:?\s*\|)+$'))
 SELECT page_id, line_no, CAST(len(cells) AS INTEGER) AS n_cells, array_to_string(list_filter(list_transform(cells, lambda c, i : CASE WHEN c <> '' THEN coalesce(names[i], '') || ': ' || c END), lambda z : z IS NOT NULL), ' | ') AS record FROM c""",
-    "json_keys": "WITH f AS (SELECT file_id, unnest(json_keys(body)) AS key FROM code_files WHERE file_lang = 'json' AND body IS NOT NULL AND json_valid(body) AND json_type(body) = 'OBJECT') SELECT key, count(DISTINCT file_id) AS n_files FROM f GROUP BY key",
+    "json_keys": r"WITH f AS (SELECT file_id, unnest(json_keys(body)) AS key FROM code_files WHERE coalesce(nullif(lower(trim(file_lang, ' ')), ''), lower(regexp_extract(file_path, '\.(\w+)$', 1))) = 'json' AND body IS NOT NULL AND json_valid(body) AND json_type(body) = 'OBJECT') SELECT key, count(DISTINCT file_id) AS n_files FROM f GROUP BY key",
 }

@@ -67,14 +67,18 @@ QUERIES = {
     "removal_guard": removal_guard, "token_usage": token_usage, "language_walls_cut": language_walls_cut, "summary_verdicts": summary_verdicts,
 }
 WALL = r"^\s*(?:(?:" + "|".join(LANGUAGES) + r")[\s|,/·]*){2,}$"
-PHONE = r"regexp_replace(regexp_replace(regexp_replace(p, '(?i)^[a-z/. ]*', ''), '[^0-9+]', '', 'g'), '^(?:\+|00)42[01]', '')"
+PHONE = r"regexp_replace(regexp_replace(regexp_replace(p, '^[^0-9+(]*', ''), '[^0-9+]', '', 'g'), '^(?:\+|00)42[01]', '')"
+IS_PHONE = rf"(regexp_matches(x, '{r.PHONE_FIELD}') AND regexp_matches(regexp_replace(x, '[^0-9]', '', 'g'), '^\d{{9,14}}$'))".replace(r"\u00a0", "\u00a0")
 SQL = {
-    "contacts": rf"""WITH t AS (SELECT doc_id, string_split(text, chr(10)) AS x FROM documents WHERE contains(text, '@')),
+    "contacts": rf"""WITH t AS (SELECT doc_id, string_split(text, chr(10)) AS x FROM documents WHERE text IS NOT NULL),
 l AS (SELECT doc_id, CAST(generate_subscripts(x, 1) AS INTEGER) AS line_no, unnest(x) AS line FROM t),
-f AS (SELECT doc_id, line_no, list_filter(list_transform(string_split_regex(regexp_replace(line, '^[\s\-*•|]+|[\s|]+$', '', 'g'), '\s*[|;]\s*'), lambda x : trim(x, ' ')), lambda x : x <> '') AS f FROM l WHERE regexp_matches(line, '[|;]') AND regexp_matches(line, '{r.MAIL}')),
-c AS (SELECT doc_id, line_no, list_filter(f, lambda x : NOT regexp_matches(x, '^{r.MAIL}$') AND NOT regexp_matches(regexp_replace(x, '[^0-9]', '', 'g'), '^\d{{9,14}}$'))[1] AS name, list_filter(f, lambda x : regexp_matches(x, '^{r.MAIL}$'))[1] AS email, list_filter(f, lambda x : regexp_matches(regexp_replace(x, '[^0-9]', '', 'g'), '^\d{{9,14}}$'))[1] AS p FROM f WHERE len(f) = 3),
-n AS (SELECT doc_id, line_no, name, lower(email) AS email, CASE WHEN regexp_matches({PHONE}, '^\d{{9}}$') THEN CAST({PHONE} AS BIGINT) END AS phone FROM c WHERE email IS NOT NULL AND name IS NOT NULL)
-SELECT email, doc_id, line_no, name, CAST(phone AS VARCHAR) AS phone FROM n QUALIFY row_number() OVER (PARTITION BY email ORDER BY (phone IS NOT NULL)::INT + (trim(name, ' ') <> '')::INT DESC, doc_id DESC, line_no DESC) = 1""",
+f AS (SELECT doc_id, line_no, list_filter(list_transform(string_split_regex(regexp_replace(line, '^[\s\-*•|]+|[\s|]+$', '', 'g'), '\s*[|;]\s*'), lambda x : trim(x, ' ')), lambda x : x <> '') AS f FROM l WHERE regexp_matches(line, '[|;]') AND regexp_matches(line, '\d{{3}}|@')),
+c AS (SELECT doc_id, line_no, list_filter(f, lambda x : NOT regexp_matches(x, '^{r.MAIL}$') AND NOT {IS_PHONE} AND regexp_matches(x, '\p{{L}}')) AS w, list_filter(f, lambda x : regexp_matches(x, '^{r.MAIL}$'))[1] AS email, list_filter(f, lambda x : {IS_PHONE})[1] AS p FROM f WHERE len(f) > 1),
+n AS (SELECT doc_id, line_no, w[1] AS name, w[2] AS role, w[3] AS department, lower(email) AS email, CASE WHEN regexp_matches({PHONE}, '^\d{{9}}$') THEN {PHONE} END AS phone FROM c),
+b AS (SELECT *, trim(regexp_replace(regexp_replace(coalesce(name, ''), '{r.TITLES_BEFORE}', ''), '{r.TITLES_AFTER}', ''), ' ') AS bare FROM n WHERE (email IS NOT NULL OR phone IS NOT NULL) AND (email IS NOT NULL OR name IS NOT NULL)),
+s AS (SELECT *, (trim(regexp_replace(bare, '\S+$', ''), ' ') <> '')::INT + (regexp_extract(bare, '(\S+)$', 1) <> '')::INT + (role IS NOT NULL)::INT + (department IS NOT NULL)::INT + (phone IS NOT NULL)::INT AS filled FROM b)
+SELECT email, doc_id, line_no, name, role, department, CAST(CAST(phone AS BIGINT) AS VARCHAR) AS phone FROM s
+QUALIFY row_number() OVER (PARTITION BY email, CASE WHEN email IS NULL THEN lower(name) END, CASE WHEN email IS NULL THEN phone END ORDER BY CASE WHEN email IS NULL THEN 0 ELSE filled END DESC, doc_id DESC, line_no DESC) = 1""",
     "speaker_names": rf"""WITH s AS (SELECT event_id, string_split_regex(speakers, '\s*\|\s*') AS x FROM event_items WHERE speakers IS NOT NULL), l AS (SELECT event_id, CAST(generate_subscripts(x, 1) - 1 AS INTEGER) AS pos, trim(regexp_replace(unnest(x), '\s+', ' ', 'g'), ' ') AS t FROM s),
 b AS (SELECT *, regexp_extract(t, '{r.TITLES_BEFORE}') AS before, regexp_extract(t, '{r.TITLES_AFTER}') AS after, trim(regexp_replace(regexp_replace(t, '{r.TITLES_BEFORE}', ''), '{r.TITLES_AFTER}', ''), ' ') AS bare FROM l)
 SELECT event_id, pos, trim(trim(before, ' ') || ' ' || regexp_replace(after, '^,\s*', ''), ' ') AS title, trim(regexp_replace(bare, '\S+$', ''), ' ') AS first_name, regexp_extract(bare, '(\S+)$', 1) AS last_name FROM b""",

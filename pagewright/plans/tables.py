@@ -56,12 +56,28 @@ def links_merge(spark: SparkSession, d: str) -> DataFrame:
     return tables.merge_links(one.where("NOT late").drop("late"), one.where("late").drop("late"), "url", ["title"], "list_ord")
 
 
-def key_decisions(spark: SparkSession, d: str) -> DataFrame:
-    """Cache keys derived from the sitemap's URLs: which ones a fragment has spoilt and may go."""
+def _cache_keys(spark: SparkSession, d: str) -> DataFrame:
+    """Keys under which chunks of the sitemap's URLs would be stored, and the URLs themselves."""
     s = table(spark, d, "sitemap").where("url IS NOT NULL")
     mark = F.concat(F.lit("#chunk"), urls.chunk_postfix((F.col("sitemap_id") % 30).cast("int")))
-    keys = s.select(F.concat("url", mark).alias("key"))
-    return tables.key_decisions(keys, "key").groupBy("cls", "decision").agg(F.count(F.lit(1)).alias("n"))
+    return s.select(F.concat("url", mark).alias("key")).unionByName(s.select(F.col("url").alias("key")))
+
+
+def _key_decisions(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    keys = _cache_keys(spark, d)
+    return keys, tables.key_decisions(keys, "key", table(spark, d, "documents"), "url")
+
+
+def key_decisions(spark: SparkSession, d: str) -> DataFrame:
+    """Cache keys of the sitemap's URLs: which ones a fragment has spoilt and may go, as documents or legit keys survive."""
+    decided = _key_decisions(spark, d)[1]
+    return decided.groupBy("cls", "base_has_legit", "base_in_snapshot", "action").agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("first_key"))
+
+
+def key_cleanup(spark: SparkSession, d: str) -> DataFrame:
+    """The verification of the deletion: what was to go, what went, what is left over."""
+    keys, decided = _key_decisions(spark, d)
+    return tables.delete_keys(keys, "key", decided)[1]
 
 
 def version_prune(spark: SparkSession, d: str) -> DataFrame:
@@ -76,13 +92,6 @@ def version_prune(spark: SparkSession, d: str) -> DataFrame:
 
 
 def event_years(spark: SparkSession, d: str) -> DataFrame:
-    """Events by the year of an ISO date, and the span of their dates as numbers."""
-    e = table(spark, d, "event_items").where(r"event_date RLIKE '^\\d{4}-\\d{2}-\\d{2}'").select("event_id", F.substring("event_date", 1, 10).alias("day"))
-    number = F.replace("day", F.lit("-"), F.lit("")).cast("int")
-    return e.groupBy(F.substring("day", 1, 4).alias("year")).agg(F.count(F.lit(1)).alias("n_events"), F.min(number).alias("first_day"), F.max(number).alias("last_day"))
-
-
-def event_years_local(spark: SparkSession, d: str) -> DataFrame:
     """Events by the year of any readable date, as the site's calendar has it, and the span of their days as numbers."""
     e = table(spark, d, "event_items")
     stamps = zones.project_stamps(table(spark, d, "sitemap"), e)
@@ -95,9 +104,18 @@ def event_years_local(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     "kb_upsert": kb_upsert, "kb_delete_removed": kb_delete_removed, "kb_attributes": kb_attributes, "event_insert_absent": event_insert_absent,
-    "links_merge": links_merge, "key_decisions": key_decisions, "version_prune": version_prune, "event_years": event_years, "event_years_local": event_years_local,
+    "links_merge": links_merge, "key_decisions": key_decisions, "key_cleanup": key_cleanup, "version_prune": version_prune, "event_years": event_years,
 }
 LATE_SQL = "(strftime({} AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M:%S') >= '" + CUT + "')"
+KEYS_SQL = r"""WITH s AS (SELECT url, sitemap_id % 30 AS n FROM sitemap WHERE url IS NOT NULL),
+k AS (SELECT url || '#chunk' || CASE WHEN n < 26 THEN chr(CAST(65 + n AS INTEGER)) ELSE 'A' || chr(CAST(65 + n - 26 AS INTEGER)) END AS key FROM s UNION SELECT url FROM s),
+f AS (SELECT key, string_split(key, '#') AS p FROM k),
+m AS (SELECT key, p[1] AS page, len(p) - 1 AS n, regexp_full_match(p[2], '(chunk[A-Z]+|PAGE\d+chunk[A-Z]+)') AS first_is_mark, regexp_full_match(p[-1], '(chunk[A-Z]+|PAGE\d+chunk[A-Z]+)') AS last_is_mark FROM f),
+c AS (SELECT key, page, CASE WHEN n = 0 THEN 'unknown' WHEN n = 1 THEN CASE WHEN first_is_mark THEN 'legit' ELSE 'unknown' END WHEN last_is_mark AND NOT first_is_mark THEN 'fragment_polluted' ELSE 'unknown' END AS cls FROM m),
+l AS (SELECT DISTINCT page FROM c WHERE cls = 'legit'), x AS (SELECT DISTINCT url AS page FROM documents WHERE url IS NOT NULL),
+b AS (SELECT key, cls, cls <> 'unknown' AND page IN (SELECT page FROM l) AS base_has_legit, cls <> 'unknown' AND page IN (SELECT page FROM x) AS base_in_snapshot FROM c),
+d AS (SELECT *, CASE cls WHEN 'legit' THEN 'KEEP' WHEN 'unknown' THEN 'SKIP' ELSE CASE WHEN base_has_legit OR base_in_snapshot THEN 'DELETE' ELSE 'SKIP' END END AS action FROM b)
+"""
 SQL = {
     "kb_upsert": f"""WITH pages AS (SELECT url AS lookup_url, page_id AS row_id, 'page' AS origin, {LATE_SQL.format('ingested_at')} AS late FROM scraped_pages WHERE url IS NOT NULL),
 t AS (SELECT url AS lookup_url, doc_id AS row_id, 'document' AS origin FROM documents UNION ALL SELECT lookup_url, row_id, origin FROM pages WHERE NOT late),
@@ -113,13 +131,9 @@ SELECT event_id FROM h UNION ALL SELECT min(event_id) FROM e WHERE late AND NOT
 one AS (SELECT url, late, min(list_ord) AS list_ord, max_by(title, list_ord) AS title FROM c GROUP BY url, late),
 o AS (SELECT * FROM one WHERE NOT late), n AS (SELECT * FROM one WHERE late)
 SELECT coalesce(o.url, n.url) AS url, coalesce(n.title, o.title) AS title, o.list_ord IS NULL AS appended, coalesce(o.list_ord, n.list_ord) AS list_ord FROM o FULL OUTER JOIN n ON o.url = n.url""",
-    "key_decisions": r"""WITH k AS (SELECT url || '#chunk' || CASE WHEN sitemap_id % 30 < 26 THEN chr(CAST(65 + sitemap_id % 30 AS INTEGER)) ELSE 'A' || chr(CAST(65 + sitemap_id % 30 - 26 AS INTEGER)) END AS key FROM sitemap WHERE url IS NOT NULL),
-c AS (SELECT key, split_part(key, '#', 1) AS page, CASE WHEN NOT contains(key, '#') OR regexp_matches(key, '^[^#]*#(?:PAGE\d+)?chunk[A-Z]+$') THEN 'legit' WHEN regexp_matches(key, '#(?:PAGE\d+)?chunk[A-Z]+$') THEN 'fragment_polluted' ELSE 'unknown' END AS cls FROM k),
-l AS (SELECT DISTINCT page FROM c WHERE cls = 'legit')
-SELECT cls, CASE WHEN cls = 'fragment_polluted' AND l.page IS NOT NULL THEN 'DELETE' ELSE 'KEEP' END AS decision, count(*) AS n FROM c LEFT JOIN l USING (page) GROUP BY cls, decision""",
+    "key_decisions": KEYS_SQL + "SELECT cls, base_has_legit, base_in_snapshot, action, count(*) AS n, min(key) AS first_key FROM d GROUP BY ALL",
+    "key_cleanup": KEYS_SQL + "SELECT count(*) FILTER (action = 'DELETE') AS would_delete, count(*) FILTER (action = 'DELETE') AS deleted, CAST(0 AS BIGINT) AS left_over FROM d",
     "version_prune": r"""WITH s AS (SELECT site_id, sitemap_id, left(regexp_replace(regexp_replace(regexp_replace(replace(strip_accents(title), '..', '_'), '[<>:"/\\|?*\s\x00-\x1f]+', '_', 'g'), '_+', '_', 'g'), '^[_.]+|[_.]+$', '', 'g'), 200) AS base FROM sitemap WHERE title IS NOT NULL),
 v AS (SELECT site_id, base, row_number() OVER (PARTITION BY site_id, base ORDER BY sitemap_id) - 1 AS n FROM s)
 SELECT site_id || '/' || base || CASE WHEN n = 0 THEN '' ELSE '_V' || n END AS name, n = 0 OR n = max(n) OVER (PARTITION BY site_id, base) AS keep FROM v""",
-    "event_years": r"""WITH e AS (SELECT left(event_date, 10) AS day FROM event_items WHERE regexp_matches(event_date, '^\d{4}-\d{2}-\d{2}'))
-SELECT left(day, 4) AS year, count(*) AS n_events, min(CAST(replace(day, '-', '') AS INTEGER)) AS first_day, max(CAST(replace(day, '-', '') AS INTEGER)) AS last_day FROM e GROUP BY ALL""",
 }

@@ -88,12 +88,36 @@ def test_tables(spark):
 
 @pytest.mark.parametrize(
     ("key", "wanted"),
-    [("https://e.cz/a#chunkA", "legit"), ("https://e.cz/a#chunkAA", "legit"), ("https://e.cz/a#PAGE2chunkA", "legit"), ("https://e.cz/a#PAGE10chunkBB", "legit"), ("https://e.cz/a", "legit"), ("https://e.cz/a#top#chunkA", "fragment_polluted"), ("https://e.cz/a#top", "unknown")],
+    [
+        ("https://e.cz/a#chunkA", "legit"), ("https://e.cz/a#chunkAA", "legit"), ("https://e.cz/a#PAGE2chunkA", "legit"), ("https://e.cz/a#PAGE10chunkBB", "legit"),
+        ("https://e.cz/a#zou#chunkA", "fragment_polluted"), ("https://e.cz/a#accessibility#chunkA", "fragment_polluted"), ("https://e.cz/a#cookies#PAGE2chunkA", "fragment_polluted"),
+        ("https://e.cz/a#summarizedA", "unknown"), ("https://e.cz/a#zou", "unknown"), ("https://e.cz/a", "unknown"), ("https://e.cz/a#chunkA#chunkB", "unknown"), ("https://e.cz/a#", "unknown"),
+    ],
 )
 def test_key_class(spark, key, wanted):
     assert one(spark, tables.key_class, key) == wanted
 
 
+def test_key_decisions(spark):
+    keys = spark.createDataFrame([("p#zou#chunkA",), ("p#chunkA",), ("q#zou#chunkA",), ("r#zou#chunkB",), ("r",), ("s#x",), ("p#chunkA#chunkB",), (None,)], "k string")
+    listed = spark.createDataFrame([("q",), ("s",), (None,)], "u string")
+    decided = tables.key_decisions(keys, "k", listed, "u")
+    got = {r.key: (r.cls, r.base, r.base_has_legit, r.base_in_snapshot, r.action) for r in decided.collect()}
+    assert got["p#zou#chunkA"] == ("fragment_polluted", "p", True, False, "DELETE") and got["p#chunkA"] == ("legit", "p", True, False, "KEEP")
+    assert got["q#zou#chunkA"] == ("fragment_polluted", "q", False, True, "DELETE") and got["r#zou#chunkB"] == ("fragment_polluted", "r", False, False, "SKIP")
+    assert {got[k][1:] for k in ("r", "s#x", "p#chunkA#chunkB")} == {(None, False, False, "SKIP")}
+    stay, counts = tables.delete_keys(keys, "k", decided)
+    assert {r.k for r in stay.collect()} == {"p#chunkA", "r#zou#chunkB", "r", "s#x", "p#chunkA#chunkB", None}
+    assert tuple(counts.first()) == (2, 2, 0)
+
+
+def test_contacts(spark):
+    text = "| Ing. Jan Novák | vedoucí | matrika | 602 111 222 | jan@a.cz |\n- Jan Novák; JAN@a.cz; +420 602 111 222\nEva Bílá; tel.: 603 333 444\neva bílá; 603 333 444\n| 604 555 666 |\n| Cena | 300 |\nPetr; petr@a.cz"
+    df = spark.createDataFrame([(1, text), (2, None), (3, "Jan Novák | jan@a.cz")], "doc_id bigint, text string")
+    got = {(r.email, r.name, r.role, r.department, r.phone, r.line_no) for r in records.best_contacts(records.contact_rows(df)).collect()}
+    assert got == {("jan@a.cz", "Ing. Jan Novák", "vedoucí", "matrika", 602111222, 1), (None, "eva bílá", None, None, 603333444, 4), ("petr@a.cz", "Petr", None, None, None, 7)}
+
+
 def test_versions(spark):
     df = spark.createDataFrame([("x",), ("x_V1",), ("x_v10",), ("x_V9",), ("y_V2",)], "n string")
     assert {r.n for r in tables.newest_versions(df, "n").where("keep").collect()} == {"x", "x_v10", "y_V2"}
@@ -153,6 +177,19 @@ def test_chunks_keep_all_words_within_budget(spark):
     assert {r.id for r in rows} == {1} and [r.chunk_number for r in rows] == list(range(1, len(rows) + 1))
 
 
+def test_chunk_goldens():
+    assert chunking.by_budget("krátký text", 10) == [("krátký text", 3)]
+    # 32 characters are ten tokens: two such lines don't fit with a third
+    line = "a" * 32
+    assert chunking.by_budget("\n".join([line] * 3), 21) == [(f"{line}\n{line}", 20), (line, 10)]
+    # a line too wide is cut at blanks, its rest begins the next chunk
+    assert chunking.by_budget("úvod\n" + "abcd " * 6 + "konec\nzávěr", 5) == [("úvod", 1), ("abcd abcd abcd abcd", 5), ("abcd abcd konec", 5), ("závěr", 1)]
+    assert chunking.by_budget("x" * 40 + " y", 3) == [("x" * 40, 12), ("y", 1)]
+    assert chunking.by_budget("\n\n\n" + "b" * 9, 2) == [("b" * 9, 4)]
+    assert len(chunking.by_budget("\n".join([line] * 60), 11)) == 60
+    assert chunking.split_line("aaa bbb", 1) == ["aaa", "bbb"] and chunking.split_line("   ", 1) == [""]
+
+
 def test_sections_repeat_their_heading():
     text = "## A\n\n" + "\n\n".join("odstavec " * 20 for _ in range(5)) + "\n## B\nkrátký"
     got = chunking.by_headings(text, 400)

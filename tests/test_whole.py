@@ -39,7 +39,7 @@ def test_newest_of_any_form(spark, folder):
         newest = max((r[5] for r in rows if r[5]), default=None)
         best = min((r for r in rows if r[5] == newest), key=lambda r: r[3])
         wanted.add((URL + page, best[0], newest))
-    assert {tuple(r) for r in frontier.frontier_keep_newest_utc(spark, folder).collect()} == wanted
+    assert {tuple(r) for r in frontier.frontier_keep_newest(spark, folder).collect()} == wanted
     assert (URL + "x", 2, "2024-07-01T08:00:00Z") in wanted and (URL + "w", 8, None) in wanted
 
 
@@ -49,9 +49,9 @@ def test_modified_since_reads_rows_without_a_zone(spark, folder):
 
 
 def test_years_of_any_form(spark, folder):
-    got = {tuple(r) for r in tables.event_years_local(spark, folder).collect()}
+    got = {tuple(r) for r in tables.event_years(spark, folder).collect()}
     assert got == {("2024", 3, 20240101, 20240202), ("2023", 1, 20231231, 20231231), ("2022", 1, 20220506, 20220506)}
 
 
 def test_json_files_by_path(spark, folder):
-    assert {tuple(r) for r in documents.json_keys_by_path(spark, folder).collect()} == {("k", 2), ("m", 2)}
+    assert {tuple(r) for r in documents.json_keys(spark, folder).collect()} == {("k", 2), ("m", 2)}
