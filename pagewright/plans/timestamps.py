@@ -14,11 +14,11 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p2_zones(spark: SparkSession, d: str) -> DataFrame:
-    """Estimated offset history of every site, its declaration left aside, beside that declaration."""
+    """Every site's offset history: the one taken, the best one without its declaration, and that declaration."""
     stamps = zones.project_stamps(table(spark, d, "sitemap"), table(spark, d, "event_items"))
-    found = zones.estimate_zones(stamps, "site_id", "arrived")
-    declared = table(spark, d, "site_config").select(F.col("site_id").alias("source"), F.col("time_zone").alias("declared"))
-    return found.join(declared, "source", "left").select(F.col("source").alias("site_id"), "declared", F.col("zone").alias("estimated"), "n_stamps", "violations")
+    config = table(spark, d, "site_config")
+    found = zones.site_zones(stamps, config).withColumnRenamed("source", "site_id")
+    return found.join(config.select("site_id", F.col("time_zone").alias("declared")), "site_id", "left")
 
 
 QUERIES = {"p2_found": p2_found, "p2_zones": p2_zones}

@@ -72,7 +72,32 @@ def _stamps(spark, zone):
 
 @pytest.mark.parametrize("zone", ["UTC", "Europe/London", "Europe/Prague", "Europe/Bucharest"])
 def test_estimated_zone(spark, zone):
-    assert [(r.source, r.zone) for r in zones.estimate_zones(_stamps(spark, zone), "site_id", "arrived").collect()] == [(1, zone)]
+    stamps = _stamps(spark, zone)
+    found = [(r.source, r.zone) for r in zones.estimate_zones(stamps, "site_id", "arrived").collect()]
+    # a zone of the same history may stand for it
+    assert len(found) == 1 and found[0][0] == 1
+    at = [datetime(2023, m, d) for m in range(1, 13) for d in (1, 15)]
+    assert [t.replace(tzinfo=ZoneInfo(found[0][1])).utcoffset() for t in at] == [t.replace(tzinfo=ZoneInfo(zone)).utcoffset() for t in at]
+    declare = lambda z: spark.createDataFrame([(1, z), (3, "Asia/Tokyo"), (4, None)], "source int, declared string")
+    # the right declaration gives its name, a wrong one is beaten, one without stamps stands
+    assert {r.source: r.zone for r in zones.estimate_zones(stamps, "site_id", "arrived", declare(zone)).collect()} == {1: zone, 3: "Asia/Tokyo"}
+    wrong = {r.source: r.zone for r in zones.estimate_zones(stamps, "site_id", "arrived", declare("America/New_York")).collect()}
+    assert wrong[1] == found[0][1] and wrong[3] == "Asia/Tokyo"
+
+
+def test_arrivals_alone_bound_the_offset(spark):
+    utc = [datetime(2023, 1, 10, tzinfo=timezone.utc) + timedelta(days=i) for i in range(40)]
+    rows = [(1, (t + timedelta(hours=9)).strftime("%Y-%m-%d %H:%M:%S"), t + timedelta(minutes=2)) for t in utc]
+    stamps = parse_moment(spark.createDataFrame(rows, "site_id int, written string, arrived timestamp"), "written")
+    zone = zones.estimate_zones(stamps, "site_id", "arrived").first()["zone"]
+    assert datetime(2023, 1, 20, tzinfo=ZoneInfo(zone)).utcoffset() >= timedelta(hours=9)
+
+
+def test_few_stray_stamps_do_not_beat_the_declaration(spark):
+    rows = [(1, "2023-01-05T10:00:00+03:00", None)] * 2 + [(1, "2023-01-05T10:00:00+01:00", None)]
+    stamps = parse_moment(spark.createDataFrame(rows, "site_id int, written string, arrived timestamp"), "written")
+    declared = spark.createDataFrame([(1, "Europe/Prague")], "source int, declared string")
+    assert zones.estimate_zones(stamps, "site_id", "arrived", declared).first()["zone"] == "Europe/Prague"
 
 
 def test_moments_in_utc(spark):
