@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.timestamps import as_ntz, is_canonical, parse_moment, shift_minutes, to_utc, utc_text
-from ..session import spread
+from ..session import checkpointed, spread
 
 #: Clock difference between writer and collector that is no violation yet.
 TOLERANCE_MINUTES = 5
@@ -72,7 +72,7 @@ def evidence(stamps: DataFrame, source: str, arrived: str) -> DataFrame:
 def zone_violations(stamps: DataFrame, source: str, arrived: str, first: tuple[str, ...] = ()) -> tuple[DataFrame, dict[str, int]]:
     """``source, history, zone, violations`` for every offset history, and the number of every zone's history."""
     spark = stamps.sparkSession
-    seen = evidence(stamps, source, arrived)
+    seen = checkpointed(evidence(stamps, source, arrived))
     # at most one row a day of the calendar
     days = sorted(r["day"] for r in seen.select("day").distinct().collect())
     names, offsets, number = histories(days, first)
@@ -81,7 +81,7 @@ def zone_violations(stamps: DataFrame, source: str, arrived: str, first: tuple[s
     t = seen.join(table, "day").select("source", "stated", "least", "n", F.posexplode("offsets").alias("history", "offset"))
     against = F.when(F.col("offset").isNull(), 0).when(F.col("stated").isNotNull(), (F.col("offset") != F.col("stated")).cast("int")).otherwise((F.col("offset") < F.col("least")).cast("int"))
     summed = t.groupBy("source", "history").agg(F.sum(F.col("n") * against).alias("violations"))
-    return summed.join(zones, "history").select("source", "history", "zone", "violations"), number
+    return checkpointed(summed.join(zones, "history").select("source", "history", "zone", "violations")), number
 
 
 def estimate_zones(stamps: DataFrame, source: str, arrived: str, declared: DataFrame | None = None) -> DataFrame:
