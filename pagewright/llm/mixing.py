@@ -31,9 +31,9 @@ def counted(documents: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
 def demands(counts: DataFrame, targets: DataFrame) -> DataFrame:
     """Per target source: what it has, wants and can give of a mixture as large as the corpus itself.
 
-    ``source, name, target_share, max_repeat, n_docs, available, total, wanted, given, reachable``. A source
-    without documents has nothing; documents of other sources, or of none, count in the total only. One
-    row a source, whatever the number of documents: they are summed in each task before the shuffle.
+    ``source, name, target_share, max_repeat, n_docs, available, total, wanted, given``. A source without
+    documents has nothing; documents of other sources, or of none, count in the total only. One row a source,
+    whatever the number of documents: they are summed in each task before the shuffle.
     """
     sums = counts.groupBy("name").agg(F.sum("n_tokens").alias("available"), F.count(F.lit(1)).alias("n_docs"))
     total = sums.agg(F.coalesce(F.sum("available"), F.lit(0)).alias("total"))
@@ -42,30 +42,61 @@ def demands(counts: DataFrame, targets: DataFrame) -> DataFrame:
     joined = t.join(sums, "name", "left").join(F.broadcast(total), how="cross").na.fill(0, ["available", "n_docs"])
     capacity = F.col("available") * F.col("max_repeat")
     wanted = F.col("target_share") * F.col("total")
-    return joined.select(
-        "source", "name", "target_share", "max_repeat", "n_docs", "available", "total",
-        wanted.alias("wanted"),
-        F.least(wanted, capacity.cast("double")).alias("given"),
-        (~(capacity < wanted)).alias("reachable"),
-    )
+    return joined.select("source", "name", "target_share", "max_repeat", "n_docs", "available", "total", wanted.alias("wanted"), F.least(wanted, capacity.cast("double")).alias("given"))
+
+
+def placements(counts: DataFrame, need: DataFrame, bucket_docs: int = BUCKET_DOCS) -> DataFrame:
+    """The cumulative demand inverted: ``doc_id, source, n_tokens, start, passes`` of each document that is placed.
+
+    A source's documents follow each other by a hash of their id; ``start`` is where a document begins in one pass
+    over them, ``passes`` how often it is met until the demand is, at most ``max_repeat`` times. The running sums of
+    tokens come from sums of buckets and sums within a bucket, so a source with a third of all rows is many
+    tasks' work. Documents of no target source, and of no tokens, give no row.
+    """
+    plan = need.where((F.col("given") > 0) & (F.col("available") > 0)).select("source", "name", "available", "given", "max_repeat", F.ceil(F.col("n_docs") / bucket_docs).alias("n_buckets"))
+    # one row a target source
+    t = counts.where("n_tokens > 0").withColumn("order", F.xxhash64("doc_id")).join(F.broadcast(plan), "name")
+    # buckets are ranges of the hash, so their order is the documents' order
+    t = t.withColumn("bucket", F.floor((F.col("order") / F.lit(2.0**64) + 0.5) * F.col("n_buckets")))
+    sums = t.groupBy("source", "bucket").agg(F.sum("n_tokens").alias("sum"))
+    before = F.coalesce(F.sum("sum").over(Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = sums.select("source", "bucket", before.alias("offset"))
+    within = Window.partitionBy("source", "bucket").orderBy("order", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
+    t = t.withColumn("inner", F.coalesce(F.sum("n_tokens").over(within), F.lit(0))).join(offsets, ["source", "bucket"])
+    start = F.col("offset") + F.col("inner")
+    passes = F.least(F.ceil((F.col("given") - start) / F.col("available")), F.col("max_repeat").cast("bigint"))
+    return t.where(passes > 0).select("doc_id", "source", "name", "n_tokens", "available", "given", start.alias("start"), passes.alias("passes"))
+
+
+def reached(documents: DataFrame, targets: DataFrame, vocabulary: str = VOCABULARY, bucket_docs: int = BUCKET_DOCS) -> DataFrame:
+    """``demands`` with ``placed``, the tokens of all placed copies, and ``n_copies``, of each target source.
+
+    Copies are whole documents, so a source in reach of its share has its demand and at most a document more. Every
+    text is tokenised once.
+    """
+    counts = checkpointed(counted(documents, vocabulary))
+    need = checkpointed(demands(counts, targets))
+    copies = placements(counts, need, bucket_docs).groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("passes")).alias("placed"), F.sum("passes").alias("n_copies"))
+    return need.join(copies, "source", "left").na.fill(0, ["placed", "n_copies"])
 
 
 def out_of_reach(documents: DataFrame, targets: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
-    """Distinct ``source`` of the targets that can't reach their share even at their cap of repeats.
+    """Distinct ``source`` of the targets whose placed copies stay below their share, though their cap of repeats is used up.
 
     Rows of targets with a NULL share or cap can't be judged and give no row; an empty corpus has no size, so
     every share of it is reached.
     """
-    return demands(counted(documents, vocabulary), targets).where(~F.col("reachable")).select("source").distinct()
+    return reached(documents, targets, vocabulary).where(F.col("placed") < F.col("wanted")).where("max_repeat IS NOT NULL").select("source").distinct()
 
 
 def shares(documents: DataFrame, targets: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
-    """Per target source: the share reached of all tokens given, and the repeats that takes."""
-    d = demands(counted(documents, vocabulary), targets)
-    all_given = d.agg(F.sum("given").alias("all_given"))
-    reached = F.when(F.col("all_given") > 0, F.col("given") / F.col("all_given")).otherwise(0.0)
-    repeats = F.when(F.col("available") > 0, F.col("given") / F.col("available")).otherwise(0.0)
-    return d.join(F.broadcast(all_given), how="cross").select("source", "target_share", "max_repeat", "available", "reachable", F.round(reached, 9).alias("actual_share"), F.round(repeats, 9).alias("repeats"))
+    """Per target source: the share that its placed copies reach of all placed tokens, and the repeats that takes."""
+    d = reached(documents, targets, vocabulary)
+    everything = d.agg(F.sum("placed").alias("everything"))
+    actual = F.when(F.col("everything") > 0, F.col("placed") / F.col("everything")).otherwise(0.0)
+    repeats = F.when(F.col("available") > 0, F.col("placed") / F.col("available")).otherwise(0.0)
+    reachable = ~(F.col("placed") < F.col("wanted"))
+    return d.join(F.broadcast(everything), how="cross").select("source", "target_share", "max_repeat", "available", "placed", reachable.alias("reachable"), F.round(actual, 9).alias("actual_share"), F.round(repeats, 9).alias("repeats"))
 
 
 def segments(schedules: DataFrame) -> DataFrame:
@@ -97,28 +128,17 @@ def _inverse(u: Column, parts: Column) -> Column:
 def curriculum(documents: DataFrame, targets: DataFrame, schedules: DataFrame | None = None, vocabulary: str = VOCABULARY, bucket_docs: int = BUCKET_DOCS) -> DataFrame:
     """``doc_id, source, copy, n_tokens, position``: every copy to train on, in order of its position in [0, 1].
 
-    A source's documents follow each other by a hash of their id; pass follows pass until the demand is met,
-    at most ``max_repeat`` times. A source without a schedule has a constant weight. The running sums of
-    tokens come from sums of buckets and sums within a bucket, so a source with a third of all rows is many
-    tasks' work. Documents of no target source, and of no tokens, give no row.
+    Pass follows pass over a source's documents until its demand is met. A source without a schedule has a constant
+    weight. Documents of no target source, and of no tokens, give no row.
     """
     counts = checkpointed(counted(documents, vocabulary))
-    need = demands(counts, targets).where((F.col("given") > 0) & (F.col("available") > 0))
-    parts = segments(schedules) if schedules is not None else None
-    plan = need.select("source", "name", "available", "given", "max_repeat", F.ceil(F.col("n_docs") / bucket_docs).alias("n_buckets"))
-    plan = plan.join(parts, "name", "left") if parts is not None else plan.withColumn("parts", F.lit(None).cast("array<struct<u0:double,u1:double,t0:double,t1:double,w0:double,w1:double>>"))
-    # one row a target source
-    t = counts.where("n_tokens > 0").withColumn("order", F.xxhash64("doc_id")).join(F.broadcast(plan), "name")
-    # buckets are ranges of the hash, so their order is the documents' order
-    t = t.withColumn("bucket", F.floor((F.col("order") / F.lit(2.0**64) + 0.5) * F.col("n_buckets")))
-    sums = t.groupBy("source", "bucket").agg(F.sum("n_tokens").alias("sum"))
-    before = F.coalesce(F.sum("sum").over(Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    offsets = sums.select("source", "bucket", before.alias("offset"))
-    within = Window.partitionBy("source", "bucket").orderBy("order", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
-    t = t.withColumn("inner", F.coalesce(F.sum("n_tokens").over(within), F.lit(0))).join(offsets, ["source", "bucket"])
-    start = F.col("offset") + F.col("inner")
-    passes = F.least(F.ceil((F.col("given") - start) / F.col("available")), F.col("max_repeat").cast("bigint"))
-    copies = t.withColumn("start", start).where(passes > 0).withColumn("copy", F.explode(F.sequence(F.lit(0), (passes - 1).cast("int"))))
+    placed = placements(counts, demands(counts, targets), bucket_docs)
+    if schedules is None:
+        placed = placed.withColumn("parts", F.lit(None).cast("array<struct<u0:double,u1:double,t0:double,t1:double,w0:double,w1:double>>"))
+    else:
+        # one row a target source
+        placed = placed.join(F.broadcast(segments(schedules)), "name", "left")
+    copies = placed.withColumn("copy", F.explode(F.sequence(F.lit(0), (F.col("passes") - 1).cast("int"))))
     middle = F.col("copy") * F.col("available") + F.col("start") + F.col("n_tokens") / 2
-    placed = copies.select("doc_id", "source", "copy", "n_tokens", _inverse(F.least(middle / F.col("given"), F.lit(1.0)), F.col("parts")).alias("position"))
-    return placed.repartitionByRange("position").sortWithinPartitions("position", "source", "doc_id", "copy")
+    out = copies.select("doc_id", "source", "copy", "n_tokens", _inverse(F.least(middle / F.col("given"), F.lit(1.0)), F.col("parts")).alias("position"))
+    return out.repartitionByRange("position").sortWithinPartitions("position", "source", "doc_id", "copy")

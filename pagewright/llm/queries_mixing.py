@@ -26,4 +26,10 @@ def p7_curriculum(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {"p7_found": p7_found, "p7_shares": p7_shares, "p7_curriculum": p7_curriculum}
-SQL: dict[str, str] = {}
+# the answer is the same for any usual tokenizer, so SQL counts words and signs
+SQL = {
+    "p7_found": r"""WITH n AS (SELECT lower(trim(source, ' ')) AS name, CAST(len(regexp_extract_all(coalesce(text, ''), '[\p{L}\p{N}]{1,4}|[^\s\p{L}\p{N}]')) AS DOUBLE) AS n FROM documents),
+s AS (SELECT name, sum(n) AS available FROM n GROUP BY name)
+SELECT DISTINCT t.source FROM mix_targets AS t LEFT JOIN s ON s.name = lower(trim(t.source, ' '))
+WHERE coalesce(s.available, 0) * t.max_repeat < t.target_share * (SELECT sum(n) FROM n)""",
+}
