@@ -122,22 +122,14 @@ class _Reader(HTMLParser):
         self.lines[-1] += text.lstrip() if not line or line.endswith(" ") else text
 
 
+_CANDIDATE = re.compile(r"\s*(\S*[^\s,])(?:\s+([\d.]+)([wx]))?\s*(?:,|$)")
+
+
 def best_source(srcset: str | None) -> str | None:
-    """The widest picture of a ``srcset``, else that of the highest density."""
-    best: tuple[float, float, str] | None = None
-    for part in (srcset or "").split(","):
-        words = part.split()
-        if not words or words[0].startswith("data:"):
-            continue
-        size = words[1] if len(words) > 1 else "1x"
-        try:
-            value = float(size[:-1])
-        except ValueError:
-            continue
-        rank = (value, 0.0, words[0]) if size.endswith("w") else (0.0, value, words[0])
-        if best is None or rank[:2] > best[:2]:
-            best = rank
-    return best[2] if best else None
+    """The widest picture of a ``srcset``, else that of the highest density; commas within an address stay in it."""
+    found = [(m[3] == "w", float(m[2]) if m[2] and m[2].count(".") < 2 else 1.0, m[1]) for m in _CANDIDATE.finditer(srcset or "")]
+    kept = [c for c in found if not c[2].startswith("data:")]
+    return max(kept, key=lambda c: c[:2])[2] if kept else None
 
 
 def read(html: str, skipped: set[str] | None = None) -> _Reader:
@@ -148,8 +140,12 @@ def read(html: str, skipped: set[str] | None = None) -> _Reader:
     return reader
 
 
+def page(html: str, skipped: set[str] | None = None) -> tuple[str, str]:
+    """Markdown and title of the page, read once; if nothing is left without the skipped elements, of the whole page."""
+    reader = read(html, skipped)
+    text = "\n".join(x for x in (line.rstrip() for line in reader.lines) if x)
+    return (text, reader.title.strip()) if text or not skipped else page(html)
+
+
 def markdown(html: str, skipped: set[str] | None = None) -> str:
-    """Markdown of the page; if nothing is left without the skipped elements, of the whole page."""
-    lines = [x.rstrip() for x in read(html, skipped).lines]
-    text = "\n".join(x for x in lines if x)
-    return text if text or not skipped else markdown(html)
+    return page(html, skipped)[0]

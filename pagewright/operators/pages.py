@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import chunking, html, urls
@@ -61,8 +61,9 @@ def as_markdown(pages: DataFrame, selectors: Column) -> DataFrame:
                     titles.append(None)
                     continue
                 skipped = {s.strip() for s in (chosen or "").split(",") if s.strip()}
-                texts.append(html.markdown(content, skipped))
-                titles.append(html.read(content).title.strip() or None)
+                text, title = html.page(content, skipped)
+                texts.append(text)
+                titles.append(title or None)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string()), pa.array(titles, pa.string())], ["page_id", "markdown", "title"])
 
     return pages.select("page_id", "content", selectors.alias("selectors")).mapInArrow(scan, "page_id bigint, markdown string, title string")
@@ -99,9 +100,18 @@ def sections(documents: DataFrame, key: str, text: str, most_chars: int = 6000)
     return cut.withColumnRenamed("doc", key)
 
 
+#: Words of the chunk before that lead a chunk in.
+LEAD_WORDS = 30
+
+
 def with_headers(chunked: DataFrame, documents: DataFrame, key: str) -> DataFrame:
-    """Chunks as saved documents: a header of title, URL and source, then the content; ``lookup_key`` names each."""
+    """Chunks as saved documents: a header of title, URL, source and the last words of the chunk before, then the content.
+
+    ``lookup_key`` names each. The window is over the chunks of one document.
+    """
     head = documents.select(key, F.col("title").alias("__title"), F.col("url").alias("__url"), F.col("source").alias("__source"))
-    lines = F.concat_ws("\n", F.concat(F.lit("# "), F.col("__title")), F.concat(F.lit("## URL: "), F.col("__url")), F.concat(F.lit("## SOURCE: "), F.trim("__source")))
-    joined = chunked.join(head, key)
+    before = F.split(F.trim(F.lag("content").over(Window.partitionBy(key).orderBy("chunk_number"))), r"\s+")
+    lead = F.array_join(F.slice(before, F.greatest(F.size(before) - LEAD_WORDS + 1, F.lit(1)), F.lit(LEAD_WORDS)), " ")
+    lines = F.concat_ws("\n", F.concat(F.lit("# "), F.col("__title")), F.concat(F.lit("## URL: "), F.col("__url")), F.concat(F.lit("## SOURCE: "), F.trim("__source")), F.concat(F.lit("## BEFORE: "), F.col("__lead")))
+    joined = chunked.withColumn("__lead", lead).join(head, key)
     return joined.select(key, "chunk_number", F.concat("__url", F.lit("#chunk"), F.col("chunk_postfix")).alias("lookup_key"), F.concat_ws("\n\n", F.nullif(lines, F.lit("")), "content").alias("document"))

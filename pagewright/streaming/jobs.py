@@ -1,18 +1,15 @@
-"""Streams that keep tables: each micro-batch makes a new version of the state, the last one is the result.
+"""Streams that keep a table: Spark's state store has the state, each batch writes the rows that it changed.
 
-A version is written whole before the next batch begins and is named after its batch, so a batch that is run
-again after a failure writes the same folder again.
+A batch's changes are a folder named after it, so a batch that is run again after a failure writes the same folder
+again; the table is the last change of each key.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.frontier import keep_best
 from ..session import shared_folder
 
 
@@ -22,35 +19,31 @@ def read_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(f"{path[:-1]}[{path[-1]}]")
 
 
-def run_to_table(stream: DataFrame, fold: Callable[[DataFrame | None, DataFrame], DataFrame], mode: str = "append") -> DataFrame:
-    """Run ``stream`` over what is there; ``fold`` makes the next state of the last one (None at first) and a batch."""
-    spark = stream.sparkSession
+def run_to_table(aggregated: DataFrame, keys: list[str]) -> DataFrame:
+    """Run a streaming aggregation by ``keys`` over what is there and give its table; batches without rows change nothing."""
+    spark = aggregated.sparkSession
     base = shared_folder(spark)
-    versions: list[str] = []
+    values = [c for c in aggregated.columns if c not in keys]
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        path = f"{base}/state/{batch_id}"
-        last = [v for v in versions if v != path]
-        state = batch.sparkSession.read.parquet(last[-1]) if last else None
-        fold(state, batch).write.mode("overwrite").parquet(path)
-        versions[:] = [*last, path]
+        batch.write.mode("overwrite").parquet(f"{base}/changes/batch={batch_id}")
 
-    query = stream.writeStream.outputMode(mode).foreachBatch(step).option("checkpointLocation", f"{base}/progress").trigger(availableNow=True).start()
+    query = aggregated.writeStream.outputMode("update").foreachBatch(step).option("checkpointLocation", f"{base}/progress").trigger(availableNow=True).start()
     query.awaitTermination()
-    return spark.read.parquet(versions[-1])
+    if query.lastProgress is None:
+        return spark.createDataFrame([], aggregated.schema)
+    changes = spark.read.schema(T.StructType([*aggregated.schema.fields, T.StructField("batch", T.LongType())])).parquet(f"{base}/changes")
+    return changes.groupBy(*keys).agg(F.max_by(F.struct(*values), F.col("batch")).alias("__last")).select(*keys, "__last.*")
 
 
 def latest_by_key(stream: DataFrame, keys: list[str], rank: Column) -> DataFrame:
     """The row of least ``rank`` of each key over all batches: a keyed upsert that late rows can't undo."""
-    return run_to_table(stream, lambda state, batch: keep_best(batch if state is None else state.unionByName(batch), keys, rank))
+    values = [c for c in stream.columns if c not in keys]
+    best = stream.groupBy(*keys).agg(F.min_by(F.struct(*values), rank).alias("__best"))
+    return run_to_table(best, keys).select(*keys, "__best.*")
 
 
 def window_counts(stream: DataFrame, ts: str, kind: str, width: str) -> DataFrame:
-    """Rows by window and kind over all batches: each batch's counts are added to the table, so no row comes too late."""
-
-    def fold(state: DataFrame | None, batch: DataFrame) -> DataFrame:
-        counted = batch.groupBy(F.window(ts, width).alias("w"), kind).agg(F.count(F.lit(1)).alias("n")).select(F.col("w.start").alias("start"), kind, "n")
-        both = counted if state is None else state.unionByName(counted)
-        return both.groupBy("start", kind).agg(F.sum("n").alias("n"))
-
-    return run_to_table(stream, fold)
+    """Rows by window and kind over all batches; without a watermark no row comes too late, and the state is one row a window and kind."""
+    counted = stream.groupBy(F.window(ts, width).alias("w"), kind).agg(F.count(F.lit(1)).alias("n"))
+    return run_to_table(counted, ["w", kind]).select(F.col("w.start").alias("start"), kind, "n")

@@ -162,6 +162,8 @@ def test_html():
     assert html.read(page).links == [("/x", "X")] and html.read(page).title == "T"
     assert html.markdown("<nav>jen menu</nav>", {"nav"}) == "jen menu"
     assert html.best_source("a 1x, b 2x") == "b" and html.best_source(None) is None
+    assert html.best_source("https://e.cz/w_100,h_50/a.jpg 100w, https://e.cz/w_300,h_50/a.jpg 300w,c 2x") == "https://e.cz/w_300,h_50/a.jpg"
+    assert html.best_source("data:image/png;base64,xx 3x, b") == "b"
 
 
 def test_chunks_keep_all_words_within_budget(spark):
@@ -190,6 +192,16 @@ def test_chunk_goldens():
     assert chunking.split_line("aaa bbb", 1) == ["aaa", "bbb"] and chunking.split_line("   ", 1) == [""]
 
 
+def test_chunks_lead_with_the_words_before(spark):
+    ship(spark)
+    words = [f"slovo{i}" for i in range(120)]
+    df = spark.createDataFrame([(1, "\n".join(words), "Titul", "https://e.cz/a", " x ")], "id bigint, t string, title string, url string, source string")
+    rows = pages.with_headers(pages.chunks(df, "id", "t", 400, 0, 0.5), df, "id").orderBy("chunk_number").collect()
+    assert rows[0].document.startswith("# Titul\n## URL: https://e.cz/a\n## SOURCE: x\n\nslovo0") and rows[0].lookup_key == "https://e.cz/a#chunkA"
+    lead = rows[1].document.split("## BEFORE: ")[1].split("\n")[0].split()
+    assert len(lead) == 30 and words[words.index(lead[-1]) + 1] == rows[1].document.split("\n\n")[1].split()[0]
+
+
 def test_sections_repeat_their_heading():
     text = "## A\n\n" + "\n\n".join("odstavec " * 20 for _ in range(5)) + "\n## B\nkrátký"
     got = chunking.by_headings(text, 400)
