@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import documents, feeds, fetched, frontier, pages, records, streams, tables, timestamps, transcripts
+from . import documents, feeds, fetched, frontier, pages, payloads, records, streams, tables, timestamps, transcripts
 
-MODULES = (frontier, tables, fetched, transcripts, documents, pages, records, feeds, streams, timestamps)
+MODULES = (frontier, tables, fetched, transcripts, documents, pages, payloads, records, feeds, streams, timestamps)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
