@@ -34,15 +34,26 @@ def query_of(url: Column) -> Column:
     return F.regexp_extract(without_fragment(url), r"\?(.*)$", 1)
 
 
+def _decoded(text: Column) -> Column:
+    """Percent signs and plus read; a text with broken ones keeps them."""
+    return F.coalesce(F.try_url_decode(text), F.replace(text, F.lit("+"), F.lit(" ")))
+
+
+def _encoded(text: Column) -> Column:
+    """Every sign but letters, digits, ``_.-~`` as percent signs, blanks as plus."""
+    return F.replace(F.replace(F.url_encode(text), F.lit("%7E"), F.lit("~")), F.lit("*"), F.lit("%2A"))
+
+
 def canonical(url: Column) -> Column:
-    """No fragment, query parameters sorted by name and then by their order of writing; the slash at the end stays.
+    """No fragment; query parameters decoded, sorted by name and then by their order of writing, encoded again; the slash at the end stays.
 
-    Parameters without a value are dropped; a URL without a query is only freed of its fragment.
+    So one parameter written in two encodings is the same, and repeated names stand together. Parameters without
+    a value are dropped; a URL without a query is only freed of its fragment.
     """
     bare = without_fragment(url)
     parts = F.filter(F.split(query_of(url), "&"), lambda p: p.rlike("^[^=]+=."))
-    keyed = F.transform(parts, lambda p, i: F.struct(F.substring_index(p, "=", 1).alias("name"), i.alias("i"), p.alias("p")))
-    ordered = F.array_join(F.transform(F.array_sort(keyed), lambda s: s["p"]), "&")
+    keyed = F.transform(parts, lambda p, i: F.struct(_decoded(F.substring_index(p, "=", 1)).alias("name"), i.alias("i"), _decoded(F.regexp_replace(p, "^[^=]*=", "")).alias("value")))
+    ordered = F.array_join(F.transform(F.array_sort(keyed), lambda s: F.concat(_encoded(s["name"]), F.lit("="), _encoded(s["value"]))), "&")
     base = F.substring_index(bare, "?", 1)
     return F.when(~F.contains(bare, F.lit("?")), bare).otherwise(F.concat(base, F.when(ordered == "", "").otherwise(F.concat(F.lit("?"), ordered))))
 

@@ -19,7 +19,7 @@ QUERY_SQL = r"regexp_extract(split_part(url, '#', 1), '\?(.*)$', 1)"
 CANONICAL_SQL = rf"""CASE WHEN NOT contains(split_part(url, '#', 1), '?') THEN split_part(url, '#', 1)
   ELSE split_part(split_part(url, '#', 1), '?', 1) ||
     CASE WHEN len(list_filter(string_split({QUERY_SQL}, '&'), lambda p : regexp_matches(p, '^[^=]+=.'))) = 0 THEN ''
-    ELSE '?' || array_to_string(list_transform(list_sort(list_transform(list_filter(string_split({QUERY_SQL}, '&'), lambda p : regexp_matches(p, '^[^=]+=.')), lambda p, i : {{'name': split_part(p, '=', 1), 'i': i, 'p': p}})), lambda s : s.p), '&') END END"""
+    ELSE '?' || array_to_string(list_transform(list_sort(list_transform(list_filter(string_split({QUERY_SQL}, '&'), lambda p : regexp_matches(p, '^[^=]+=.')), lambda p, i : {{'name': url_decode(replace(split_part(p, '=', 1), '+', ' ')), 'i': i, 'v': url_decode(replace(substr(p, strpos(p, '=') + 1), '+', ' '))}})), lambda s : replace(url_encode(s.name), '%20', '+') || '=' || replace(url_encode(s.v), '%20', '+')), '&') END END"""
 SEGMENTS_SQL = f"list_filter(string_split({PATH_SQL}, '/'), lambda s : s <> '')"
 
 

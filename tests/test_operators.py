@@ -23,6 +23,10 @@ def one(spark, column, value, kind="string"):
         ("https://e.com/a%23b", "https://e.com/a%23b"),
         ("", ""),
         (None, None),
+        ("https://e.com/?q=%C3%A1", "https://e.com/?q=%C3%A1"),
+        ("https://e.com/?q=á", "https://e.com/?q=%C3%A1"),
+        ("https://e.com/?b=1&a=x+y&b=0&a=a~b*", "https://e.com/?a=x+y&a=a~b%2A&b=1&b=0"),
+        ("https://e.com/?q=100%", "https://e.com/?q=100%25"),
     ],
 )
 def test_canonical(spark, raw, wanted):
