@@ -194,7 +194,7 @@ def page_tokens(pages: DataFrame, site_config: DataFrame | None = None) -> DataF
                 rows.append((page_id, _number(site), _number(url if url else f"#{page_id}"), _id(place), len(ids) + 2 * ENDS * len(lines), ids.tobytes(), lines.tobytes()))
             yield pd.DataFrame(rows, columns=["page_id", "site", "url", "place", "n_tokens", "tokens", "lines"])
 
-    p = spread(pages.where("content IS NOT NULL").select("page_id", "base_url", "url", "title", "content"))
+    p = spread(pages.where("content IS NOT NULL AND page_id IS NOT NULL").select("page_id", "base_url", "url", "title", "content"))
     p = p.withColumn("site", F.coalesce(site_key(F.col("base_url")), F.lit("")))
     if site_config is None:
         p = p.withColumn("selectors", F.lit(None).cast("string"))
@@ -466,7 +466,7 @@ def classified(pages: DataFrame, site_config: DataFrame | None = None) -> DataFr
 def boilerplate_lines(pages: DataFrame, site_config: DataFrame | None = None) -> DataFrame:
     """Distinct ``page_id, line_no`` of the non-blank lines outside the body, lines counted from 1 over all.
 
-    NULL and blank contents have no lines; a page without heading has no body; equal rows count once; an
+    NULL and blank contents have no lines, a page without an id none that could be named; a page without heading has no body; equal rows count once; an
     empty table gives no rows. Lines of tags alone are left out. Further columns are ignored.
     """
     return classified(pages, site_config).where("reason <> ''").select("page_id", F.col("pos").alias("line_no")).distinct()

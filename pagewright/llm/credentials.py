@@ -370,8 +370,9 @@ def find(files: DataFrame) -> DataFrame:
             rows = [(i, no, text) for i, body, lang in zip(batch["file_id"], batch["body"], batch["lang"]) for no, text in secrets_of(body, lang, words.value)]
             yield pd.DataFrame(rows, columns=["file_id", "line_no", "secret_text"])
 
-    source = spread(files.where("body IS NOT NULL").select("file_id", "body", _language(files).alias("lang")))
-    return source.mapInPandas(scan, "file_id bigint, line_no int, secret_text string").distinct()
+    # ids pass as texts, since a NULL among numbers would make them floating point
+    source = spread(files.where("body IS NOT NULL").select(F.col("file_id").cast("string"), "body", _language(files).alias("lang")))
+    return source.mapInPandas(scan, "file_id string, line_no int, secret_text string").select(F.col("file_id").cast("bigint"), "line_no", "secret_text").distinct()
 
 
 def redact(files: DataFrame, mark: str = "REDACTED") -> DataFrame:
@@ -389,4 +390,5 @@ def redact(files: DataFrame, mark: str = "REDACTED") -> DataFrame:
                 rows.append((i, without_secrets(body, found, mark) if found else body, len({(no, text) for no, _, _, text in found})))
             yield pd.DataFrame(rows, columns=["file_id", "body", "n_secrets"])
 
-    return spread(files.select("file_id", "body", _language(files).alias("lang"))).mapInPandas(scan, "file_id bigint, body string, n_secrets int")
+    source = spread(files.select(F.col("file_id").cast("string"), "body", _language(files).alias("lang")))
+    return source.mapInPandas(scan, "file_id string, body string, n_secrets int").withColumn("file_id", F.col("file_id").cast("bigint"))

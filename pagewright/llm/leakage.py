@@ -128,12 +128,12 @@ def _by_join(documents: DataFrame, items: DataFrame) -> DataFrame:
 def leaks(documents: DataFrame, items: DataFrame, index_chars: int = INDEX_CHARS) -> DataFrame:
     """Distinct ``doc_id, item_id``: the document has ``PASSAGE`` consecutive words of the item, or all of it.
 
-    Letter case, diacritics, punctuation and spacing don't count. NULL texts and items without words give no
+    Letter case, diacritics, punctuation and spacing don't count. NULL texts and ids and items without words give no
     row, equal items and documents one under each id; an empty table on either side gives none. A text of
     any length is searched whole. Further columns are ignored.
     """
-    docs = spread(documents.where("text IS NOT NULL").select("doc_id", "text"))
-    held_out = items.where("text IS NOT NULL").select("item_id", "text").dropDuplicates()
+    docs = spread(documents.where("text IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "text"))
+    held_out = items.where("text IS NOT NULL AND item_id IS NOT NULL").select("item_id", "text").dropDuplicates()
     size = held_out.agg(F.sum(F.length("text")).alias("n")).first()["n"] or 0
     found = _by_index(docs, held_out.toPandas()) if size <= index_chars else _by_join(docs, held_out)
     return found.distinct()

@@ -37,7 +37,7 @@ def demands(counts: DataFrame, targets: DataFrame) -> DataFrame:
     """
     sums = counts.groupBy("name").agg(F.sum("n_tokens").alias("available"), F.count(F.lit(1)).alias("n_docs"))
     total = sums.agg(F.coalesce(F.sum("available"), F.lit(0)).alias("total"))
-    t = targets.select("source", source_name(F.col("source")).alias("name"), "target_share", "max_repeat").dropDuplicates()
+    t = targets.where("source IS NOT NULL").select("source", source_name(F.col("source")).alias("name"), "target_share", "max_repeat").dropDuplicates()
     # the total is a single row
     joined = t.join(sums, "name", "left").join(F.broadcast(total), how="cross").na.fill(0, ["available", "n_docs"])
     capacity = F.col("available") * F.col("max_repeat")
@@ -83,7 +83,7 @@ def reached(documents: DataFrame, targets: DataFrame, vocabulary: str = VOCABULA
 def out_of_reach(documents: DataFrame, targets: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     """Distinct ``source`` of the targets whose placed copies stay below their share, though their cap of repeats is used up.
 
-    Rows of targets with a NULL share or cap can't be judged and give no row; an empty corpus has no size, so
+    Rows of targets with a NULL source, share or cap can't be judged and give no row; an empty corpus has no size, so
     every share of it is reached.
     """
     return reached(documents, targets, vocabulary).where(F.col("placed") < F.col("wanted")).where("max_repeat IS NOT NULL").select("source").distinct()
