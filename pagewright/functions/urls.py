@@ -80,8 +80,8 @@ def breadcrumb(url: Column, root: str) -> Column:
 
 
 def under_path(url: Column, prefix: Column) -> Column:
-    """Whether the path is ``prefix`` or lies below it, on whole segments."""
-    path = F.rtrim(path_of(url), F.lit("/"))
+    """Whether the decoded path is ``prefix`` or lies below it, on whole segments."""
+    path = F.rtrim(F.coalesce(F.try_url_decode(F.replace(path_of(url), F.lit("+"), F.lit("%2B"))), path_of(url)), F.lit("/"))
     p = F.rtrim(prefix, F.lit("/"))
     return (path == p) | F.startswith(path, F.concat(p, F.lit("/")))
 

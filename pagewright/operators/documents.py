@@ -64,6 +64,24 @@ def budgets(total: Column, reserve: int = 100) -> Column:
     return F.struct(part(page).alias("page"), part(file).alias("file"), part(overlap).alias("overlap"), part(rest2 - overlap).alias("question"))
 
 
+def fitted_document(header: Column, summaries: list[Column], question: Column, content: Column, limit: int) -> Column:
+    """Struct ``stage, document``: header, summaries, question and content within ``limit`` tokens; the content is never cut.
+
+    ``summaries`` stand from the most to the least important. While the whole is too long the least important one
+    goes (stages 1 to their number), then the question, then the end of the header, at a line's end if its second
+    half has one. Content that alone has the limit stands by itself (the last stage). NULL parts take no room.
+    """
+    body = lambda *parts: F.concat(F.concat_ws("\n", *parts), F.lit("\n\n"), content)
+    stages = [body(header, *summaries[: len(summaries) - i], question) for i in range(len(summaries) + 1)] + [body(header)]
+    fits = [F.when(estimated_tokens(doc) <= limit, F.struct(F.lit(i).alias("stage"), doc.alias("document"))) for i, doc in enumerate(stages)]
+    room = (F.lit(limit) - estimated_tokens(content)).cast("double") * F.expr("3.2D")
+    cut = F.left(header, room.cast("int"))
+    line = F.regexp_replace(cut, r"\n[^\n]*$", "")
+    shorter = F.when(F.contains(cut, F.lit("\n")) & (F.length(line) > F.floor(room.cast("int") / 2)), line).otherwise(cut)
+    last = F.when(room > 0, F.struct(F.lit(len(stages)).alias("stage"), F.concat(shorter, F.lit("\n---\n\n"), content).alias("document")))
+    return F.coalesce(*fits, last, F.struct(F.lit(len(stages) + 1).alias("stage"), content.alias("document")))
+
+
 def first_sentences(text: Column, tokens: int) -> Column:
     """As many whole sentences as ``tokens`` take, at least one; a longer first sentence is cut at a word, with ``…``."""
     parts = F.split(text, r"(?<=[.!?])\s+")

@@ -27,6 +27,20 @@ def keep_best(df: DataFrame, keys: list[str], rank: Column) -> DataFrame:
     return best.select("__best.*")
 
 
+def numbered(df: DataFrame, keys: list[str], order: str, width: int = 100_000) -> DataFrame:
+    """``df`` with ``n``, the number from 1 of each row within its key, in ``order``, a column of whole numbers.
+
+    A key's rows are numbered in stretches of ``width`` values and the stretches' counts added up, so a key with a
+    third of all rows is many tasks' work. Rows with equal ``order`` are numbered in any order; rows with NULL keys are left out.
+    """
+    t = df.where(F.forall(F.array(*[F.col(k).isNotNull() for k in keys]), lambda x: x)).withColumn("__stretch", F.floor(F.col(order) / width))
+    counts = t.groupBy(*keys, "__stretch").agg(F.count(F.lit(1)).alias("__n"))
+    before = F.coalesce(F.sum("__n").over(Window.partitionBy(*keys).orderBy("__stretch").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = counts.select(*keys, "__stretch", before.alias("__before"))
+    within = F.row_number().over(Window.partitionBy(*keys, "__stretch").orderBy(order))
+    return t.withColumn("__row", within).join(offsets, [*keys, "__stretch"]).withColumn("n", F.col("__row") + F.col("__before")).drop("__row", "__before", "__stretch")
+
+
 def union_of_sources(frames: list[DataFrame]) -> DataFrame:
     """All rows of all sources with ``source_ord``, columns missing in one as NULL; duplicates stay."""
     tagged = [f.withColumn("source_ord", F.lit(i)) for i, f in enumerate(frames)]

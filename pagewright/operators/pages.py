@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -37,12 +38,21 @@ def links(pages: DataFrame) -> DataFrame:
     return joined.select("page_id", "ord", "href", "anchor", F.when(outward, urls.without_fragment(urls.resolved(F.col("base"), F.col("href")))).alias("target"))
 
 
-def inner_links(pages: DataFrame) -> DataFrame:
-    """``page_id, target``: distinct links that stay on the page's host, files left out."""
+def passes(url: Column, blacklist: tuple[str, ...] = (), include: tuple[str, ...] = (), exclude: tuple[str, ...] = ()) -> Column:
+    """Whether a URL may be crawled: under no path of ``blacklist``, no file, and its path fits ``include``, if there are any, and none of ``exclude``."""
+    path = urls.path_of(url)
+    fits = lambda patterns: reduce(lambda a, p: a | path.rlike(p), patterns, F.lit(False))
+    barred = reduce(lambda a, p: a | urls.under_path(url, F.lit(p)), blacklist, F.lit(False))
+    return ~barred & ~urls.is_file(url) & (fits(include) if include else F.lit(True)) & ~fits(exclude)
+
+
+def inner_links(pages: DataFrame, blacklist: tuple[str, ...] = (), include: tuple[str, ...] = (), exclude: tuple[str, ...] = ()) -> DataFrame:
+    """``page_id, target``: distinct links that stay on the page's host and pass the filters; files and the host's first page are left out."""
     found = links(pages).where("target IS NOT NULL")
     hosts = pages.select("page_id", urls.domain_key(F.col("base_url")).alias("host"))
     same = found.join(hosts, "page_id").where(urls.domain_key(F.col("target")) == F.col("host"))
-    return same.where(~urls.is_file(F.col("target"))).select("page_id", "target").distinct()
+    beyond = ~urls.path_of(F.col("target")).isin("", "/") | (urls.query_of(F.col("target")) != "")
+    return same.where(beyond & passes(F.col("target"), blacklist, include, exclude)).select("page_id", "target").distinct()
 
 
 def as_markdown(pages: DataFrame, selectors: Column) -> DataFrame:

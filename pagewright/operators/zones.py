@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from datetime import date, datetime, timedelta
 from functools import reduce
 from zoneinfo import ZoneInfo, available_timezones
@@ -36,7 +37,11 @@ def histories(days: list[date], first: tuple[str, ...] = ()) -> tuple[list[str],
     names = ["UTC", *sorted((z for z in available_timezones() if z.startswith(PLACES)), key=lambda z: ([z.startswith(x) for x in PLACES].index(True), z))]
     names.sort(key=lambda z: z not in first)
     # histories that agree on the first and the middle of all months are one
-    probes = sorted({datetime(day.year, day.month, d) for day in days for d in (1, 15)})
+    months = sorted({(day.year, day.month) for day in days})
+    after = {(y + m // 12, m % 12 + 1) for y, m in months}
+    probes = sorted({datetime(y, m, d) for y, m in after.union(months) for d in (1, 15)})
+    begins = [datetime(day.year, day.month, day.day) for day in days]
+    last = [bisect_right(probes, t) - 1 for t in begins]
     by_history: dict[tuple, int] = {}
     number, kept, offsets = {}, [], []
     for name in names:
@@ -45,9 +50,14 @@ def histories(days: list[date], first: tuple[str, ...] = ()) -> tuple[list[str],
         if key not in by_history:
             by_history[key] = len(kept)
             kept.append(name)
-            at = [datetime(day.year, day.month, day.day) for day in days]
-            ends = [(_offset(zone, t), _offset(zone, t + timedelta(hours=23, minutes=59))) for t in at]
-            offsets.append([a if a == b else None for a, b in ends])
+            history = []
+            for t, i in zip(begins, last):
+                a = b = key[i]
+                if key[i + 1] != a:
+                    # a change lies between the probes
+                    a, b = _offset(zone, t), _offset(zone, t + timedelta(hours=23, minutes=59))
+                history.append(a if a == b else None)
+            offsets.append(history)
         number[name] = by_history[key]
     return kept, [(day, [h[i] for h in offsets]) for i, day in enumerate(days)], number
 

@@ -47,6 +47,15 @@ def first_sentences(spark: SparkSession, d: str) -> DataFrame:
     return t.select("event_id", docs.first_sentences(F.col("summary"), 40).alias("summary"))
 
 
+def document_headers(spark: SparkSession, d: str) -> DataFrame:
+    """Documents under 300 tokens with as much of a header as fits: which parts had to go, and what is left."""
+    t = table(spark, d, "documents").where("text IS NOT NULL")
+    header = F.concat_ws("\n", F.concat(F.lit("# "), "title"), F.concat(F.lit("## URL: "), "url"))
+    summaries = [F.concat(F.lit("## SITE: "), "site"), F.concat(F.lit("## SOURCE: "), F.trim("source")), F.concat(F.lit("## BEGINS: "), F.left("text", F.lit(120)))]
+    fitted = docs.fitted_document(header, summaries, F.concat(F.lit("# QUESTION: "), "title"), F.col("text"), 300)
+    return t.select("doc_id", F.inline(F.array(fitted))).select("doc_id", "stage", F.length("document").alias("n_chars"))
+
+
 def table_rows(spark: SparkSession, d: str) -> DataFrame:
     return docs.table_rows(table(spark, d, "scraped_pages"), "page_id", "content")
 
@@ -60,7 +69,7 @@ def json_keys(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     "token_bands": token_bands, "structure_counts": structure_counts, "page_quality": page_quality, "markdown_cleaned": markdown_cleaned,
-    "header_budgets": header_budgets, "first_sentences": first_sentences, "table_rows": table_rows, "json_keys": json_keys,
+    "header_budgets": header_budgets, "first_sentences": first_sentences, "table_rows": table_rows, "json_keys": json_keys, "document_headers": document_headers,
 }
 _ENTITY_SQL = "content"
 for _e, _c in docs.ENTITIES:
@@ -89,4 +98,11 @@ h AS (SELECT *, last_value(CASE WHEN is_row AND NOT prev THEN line END IGNORE NU
 c AS (SELECT page_id, line_no, list_transform(string_split(regexp_replace(line, '^\||\|$', '', 'g'), '|'), lambda c : trim(c, ' ')) AS cells, list_transform(string_split(regexp_replace(header, '^\||\|$', '', 'g'), '|'), lambda c : trim(c, ' ')) AS names FROM h WHERE is_row AND prev AND NOT regexp_matches(line, '^\|(?:\s*:?-+:?\s*\|)+$'))
 SELECT page_id, line_no, CAST(len(cells) AS INTEGER) AS n_cells, array_to_string(list_filter(list_transform(cells, lambda c, i : CASE WHEN c <> '' THEN coalesce(names[i], '') || ': ' || c END), lambda z : z IS NOT NULL), ' | ') AS record FROM c""",
     "json_keys": r"WITH f AS (SELECT file_id, unnest(json_keys(body)) AS key FROM code_files WHERE coalesce(nullif(lower(trim(file_lang, ' ')), ''), lower(regexp_extract(file_path, '\.(\w+)$', 1))) = 'json' AND body IS NOT NULL AND json_valid(body) AND json_type(body) = 'OBJECT') SELECT key, count(DISTINCT file_id) AS n_files FROM f GROUP BY key",
+    "document_headers": f"""WITH d AS (SELECT doc_id, text, concat_ws(chr(10), '# ' || title, '## URL: ' || url) AS h, '## SITE: ' || site AS a, '## SOURCE: ' || trim(source, ' ') AS b, '## BEGINS: ' || left(text, 120) AS c, '# QUESTION: ' || title AS q FROM documents WHERE text IS NOT NULL),
+l AS (SELECT *, chr(10) || chr(10) || text AS t, {TOKENS_SQL.format('text')} AS n FROM d),
+s AS (SELECT doc_id, text, h, n, [concat_ws(chr(10), h, a, b, c, q) || t, concat_ws(chr(10), h, a, b, q) || t, concat_ws(chr(10), h, a, q) || t, concat_ws(chr(10), h, q) || t, h || t] AS v, CAST(floor((300 - n) * 3.2::DOUBLE) AS INTEGER) AS room FROM l),
+f AS (SELECT *, list_position(list_transform(v, lambda x : {TOKENS_SQL.format('x')} <= 300), true) AS i, left(h, room) AS cut FROM s),
+k AS (SELECT *, regexp_replace(cut, '\\n[^\\n]*$', '') AS line FROM f)
+SELECT doc_id, CAST(CASE WHEN i IS NOT NULL THEN i - 1 WHEN room > 0 THEN 5 ELSE 6 END AS INTEGER) AS stage,
+  CAST(CASE WHEN i IS NOT NULL THEN length(v[i]) WHEN room > 0 THEN 6 + length(text) + CASE WHEN contains(cut, chr(10)) AND length(line) > room // 2 THEN length(line) ELSE length(cut) END ELSE length(text) END AS INTEGER) AS n_chars FROM k""",
 }

@@ -107,12 +107,19 @@ def pages_untabled(spark: SparkSession, d: str) -> DataFrame:
     return t.select("page_id", F.length(p.untabled(F.col("content"))).alias("n_chars"))
 
 
+def pair_batches(spark: SparkSession, d: str) -> DataFrame:
+    """Pairs of each project in batches of 100 in order of their ids."""
+    t = frontier.numbered(table(spark, d, "faq_pairs").select("project", "pair_id"), ["project"], "pair_id")
+    return t.groupBy("project", F.floor((F.col("n") - 1) / 100).alias("batch")).agg(F.count(F.lit(1)).alias("n_pairs"), F.min("pair_id").alias("first_id"), F.max("pair_id").alias("last_id"))
+
+
 QUERIES = {
-    "unseen_urls": unseen_urls, "cache_refreshed": cache_refreshed, "category_mentions": category_mentions, "news_since": news_since, "json_repaired": json_repaired, "links_of_summaries": links_of_summaries,
+    "pair_batches": pair_batches, "unseen_urls": unseen_urls, "cache_refreshed": cache_refreshed, "category_mentions": category_mentions, "news_since": news_since, "json_repaired": json_repaired, "links_of_summaries": links_of_summaries,
     "saved_formats": saved_formats, "title_parts": title_parts, "document_dates": document_dates, "fetch_plan": fetch_plan, "first_of_section": first_of_section, "pages_untabled": pages_untabled,
 }
 _FORMS = "".join(f" WHEN regexp_matches(head, '{pattern}') THEN {{'form': '{name}', 'url': regexp_replace(regexp_extract(head, '{pattern}', 1), '[.,;)*]+$', '')}}" for name, pattern in p.URL_FORMS)
 SQL = {
+    "pair_batches": "WITH n AS (SELECT project, pair_id, (row_number() OVER (PARTITION BY project ORDER BY pair_id) - 1) // 100 AS batch FROM faq_pairs WHERE project IS NOT NULL) SELECT project, batch, count(*) AS n_pairs, min(pair_id) AS first_id, max(pair_id) AS last_id FROM n GROUP BY ALL",
     "unseen_urls": f"""WITH s AS (SELECT site_id, {CANONICAL_SQL} AS c FROM sitemap WHERE url IS NOT NULL), k AS (SELECT {CANONICAL_SQL} AS c FROM documents WHERE url IS NOT NULL UNION SELECT {CANONICAL_SQL} FROM scraped_pages WHERE url IS NOT NULL)
 SELECT site_id, count(*) AS n_rows, count(DISTINCT c) AS n_urls FROM s WHERE c NOT IN (SELECT c FROM k) GROUP BY site_id""",
     "cache_refreshed": """WITH d AS (SELECT url, coalesce(title, '') AS t FROM documents WHERE url IS NOT NULL QUALIFY row_number() OVER (PARTITION BY url ORDER BY doc_id) = 1)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import urls
 from ..functions.timestamps import as_ntz, parse_moment
-from ..operators import tables, zones
+from ..operators import frontier, tables, zones
 from ..sources.tables import table
 from .frontier import CANONICAL_SQL
 
@@ -82,12 +82,9 @@ def key_cleanup(spark: SparkSession, d: str) -> DataFrame:
 
 def version_prune(spark: SparkSession, d: str) -> DataFrame:
     """Files saved for each title, later ones as versions; the highest version and the plain file stay."""
-    from pyspark.sql import Window
-
     s = table(spark, d, "sitemap").where("title IS NOT NULL").select("site_id", "sitemap_id", urls.safe_filename(F.col("title")).alias("base"))
-    w = Window.partitionBy("site_id", "base").orderBy("sitemap_id")
-    n = F.row_number().over(w) - 1
-    names = s.select(F.concat_ws("/", F.col("site_id").cast("string"), F.when(n == 0, F.col("base")).otherwise(F.concat_ws("_V", "base", n.cast("string")))).alias("name"))
+    t = frontier.numbered(s, ["site_id", "base"], "sitemap_id").withColumn("n", F.col("n") - 1)
+    names = t.select(F.concat_ws("/", F.col("site_id").cast("string"), F.when(F.col("n") == 0, F.col("base")).otherwise(F.concat_ws("_V", "base", F.col("n").cast("string")))).alias("name"))
     return tables.newest_versions(names, "name")
 
 

@@ -122,6 +122,25 @@ def test_contacts(spark):
     assert got == {("jan@a.cz", "Ing. Jan Novák", "vedoucí", "matrika", 602111222, 1), (None, "eva bílá", None, None, 603333444, 4), ("petr@a.cz", "Petr", None, None, None, 7)}
 
 
+def test_headers_give_way_to_content(spark):
+    def fitted(limit, content="c" * 32):
+        df = spark.createDataFrame([("h" * 16 + "\n" + "i" * 16, "a" * 31, "b" * 31, "q" * 31, content)], "h string, a string, b string, q string, c string")
+        r = df.select(documents.fitted_document(F.col("h"), [F.col("a"), F.lit(None).cast("string"), F.col("b")], F.col("q"), F.col("c"), limit).alias("r")).first().r
+        return r.stage, r.document
+
+    h, a, b, q, c = "h" * 16 + "\n" + "i" * 16, "a" * 31, "b" * 31, "q" * 31, "c" * 32
+    assert fitted(100) == (0, f"{h}\n{a}\n{b}\n{q}\n\n{c}") and fitted(45) == (1, f"{h}\n{a}\n{q}\n\n{c}") == (1, fitted(41)[1])
+    assert fitted(31) == (3, f"{h}\n{q}\n\n{c}") and fitted(21) == (4, f"{h}\n\n{c}")
+    # the header's second line is cut off at its beginning
+    assert fitted(18) == (5, f"{'h' * 16}\n---\n\n{c}") and fitted(10) == (6, c) and fitted(3) == (6, c)
+
+
+def test_numbers_within_a_key(spark):
+    df = spark.createDataFrame([("a", i * 7) for i in range(50)] + [("b", 3), (None, 1)], "k string, o int")
+    rows = frontier.numbered(df, ["k"], "o", 30).collect()
+    assert sorted((r.k, r.o, r.n) for r in rows) == [("a", i * 7, i + 1) for i in range(50)] + [("b", 3, 1)]
+
+
 def test_versions(spark):
     df = spark.createDataFrame([("x",), ("x_V1",), ("x_v10",), ("x_V9",), ("y_V2",)], "n string")
     assert {r.n for r in tables.newest_versions(df, "n").where("keep").collect()} == {"x", "x_v10", "y_V2"}
