@@ -82,7 +82,7 @@ def under_headings(documents: DataFrame, key: str, text: str) -> DataFrame:
     return t.where(item & F.col("heading").isNotNull()).select(key, (F.col("pos") + 1).alias("line_no"), "heading", F.trim(F.regexp_replace("line", r"^\s*[-*•]\s+", "")).alias("item"))
 
 
-def capped(rows: DataFrame, key: str, order: str, most: int) -> DataFrame:
+def capped(rows: DataFrame, key: str, most: int) -> DataFrame:
     """``key, n_kept, n_over``: how many rows a cap of ``most`` a key keeps and how many it counts as over it."""
     n = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
     return n.select(key, F.least("n", F.lit(most)).alias("n_kept"), F.greatest(F.col("n") - most, F.lit(0)).alias("n_over"))

@@ -81,6 +81,9 @@ def _count(p: str) -> str:
 
 
 SQL = {
+    "first_sentences": rf"""WITH e AS (SELECT event_id, summary, string_split(regexp_replace(summary, '([.!?])\s+', '\1' || chr(1), 'g'), chr(1)) AS s FROM event_items WHERE summary IS NOT NULL),
+k AS (SELECT *, len(list_filter(range(1, len(s) + 1), lambda i : {TOKENS_SQL.format("array_to_string(s[1:i], ' ')")} <= 40)) AS n FROM e)
+SELECT event_id, CASE WHEN {TOKENS_SQL.format('summary')} <= 40 THEN summary WHEN n > 0 THEN array_to_string(s[1:n], ' ') ELSE regexp_replace(regexp_replace(left(summary, 128), '\s*\S*$', ''), '[,;:\- ]+$', '') || ' …' END AS summary FROM k""",
     "token_bands": f"WITH t AS (SELECT lower(trim(source, ' ')) AS source, {TOKENS_SQL.format('text')} AS tokens FROM documents WHERE text IS NOT NULL) SELECT source, CASE WHEN tokens > 20000 THEN 'CRITICAL' WHEN tokens > 15000 THEN 'HIGH' WHEN tokens > 8000 THEN 'MODERATE' ELSE 'LOW' END AS band, count(*) AS n_docs, CAST(sum(tokens) AS BIGINT) AS tokens FROM t GROUP BY source, band",
     "structure_counts": rf"""WITH c AS (SELECT doc_id, {_count(r'(?m)^#{1,6}[ \t]+\S')} AS headings, {_count(r'(?m)^[ \t]*[-*+•][ \t]+\S')} AS bullets, {_count(r'(?m)^[ \t]*\d+[.)][ \t]+\S')} AS numbered, {_count(r'(?m)^[ \t]*\|.*\|[ \t]*$')} AS tables, {_count(r'(?m)^[^\n]*\S')} AS lines FROM documents WHERE text IS NOT NULL)
 SELECT *, CASE greatest(headings, bullets, numbered, tables, lines) WHEN headings THEN 'headings' WHEN bullets THEN 'bullets' WHEN numbered THEN 'numbered' WHEN tables THEN 'tables' ELSE 'lines' END AS dominant FROM c""",

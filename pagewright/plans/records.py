@@ -36,7 +36,7 @@ def items_under_headings(spark: SparkSession, d: str) -> DataFrame:
 
 def frontier_cap(spark: SparkSession, d: str) -> DataFrame:
     s = table(spark, d, "sitemap").where("url IS NOT NULL").select("site_id", urls.canonical(F.col("url")).alias("url")).distinct()
-    return r.capped(s, "site_id", "url", 100)
+    return r.capped(s, "site_id", 100)
 
 
 def removal_guard(spark: SparkSession, d: str) -> DataFrame:

@@ -30,7 +30,7 @@ def pair_keep_last(spark: SparkSession, d: str) -> DataFrame:
 
 
 def questions_by_category(spark: SparkSession, d: str) -> DataFrame:
-    """Distinct questions of each category, and one text of the three first in order."""
+    """How many distinct questions each category has, the first and the last of them in order of their texts."""
     p = table(spark, d, "faq_pairs").where("question IS NOT NULL").select(F.coalesce("category", F.lit("Nezařazeno")).alias("category"), "question").distinct()
     ranked = p.groupBy("category").agg(F.count(F.lit(1)).alias("n_questions"), F.min("question").alias("first_question"), F.max("question").alias("last_question"))
     return ranked
