@@ -19,13 +19,13 @@ from pyspark.sql import functions as F
 
 from ..session import spread
 
-# Frequent words without diacritics, by language.
+# The most frequent words of five languages; what they share with each other speaks for all of them.
 WORDS = {
-    "cs": "je se na za jsem jste jsou nebo ktery ktera ktere kterou pro podate muzete urad uradu zadost zadosti jak kde kolik stoji proc mam si dni byt prosim dekuji ve ke ze vas vam od do pokud take vsak bydlim bydlite mohu chtel bych potrebuji koho obratit plati musim mit jiny lhuta vyrizeni spravni ne ano zdarma staci neni pri podle byl byla co tim v o a i s trva obvykle vysledku osobne budove sebou vezmete hotovosti kartou nejde lze vite kdy tento tato toto nas prepazce spravuje jen kterem muj moje poplatek dobry den to neznam odpoved prineste doklad",
-    "sk": "je sa na za som ste su alebo ktory ktora ktore ktoru pre podate mozete urad uradu ziadost ziadosti ako kde kolko preco mam si dni byt prosim dakujem vo ku ze vas vam od do ak tiez vsak byvam mozem chcel potrebujem koho obratit plati musim mat iny spravny nie ano zadarmo staci pri podla bol bola co tym v o a i s trva spravidla vysledku osobne budove prineste vybavenie vybavit budeme informovat najdete vchode ho uhradit doklad hotovosti kartou ked casti prepazke mestskeho tento tato toto nas poplatok dobry den odpovedat neviem bohuzial temu",
-    "pl": "jest sie na za jestem sa lub ktory ktora ktore dla moge mozna wniosek urzad urzedu jak gdzie ile dlaczego mam prosze dziekuje w z we ze od do jezeli jesli takze oraz przy nie tak oplata wynosi ja uiscic nalezy zlozyc osobiscie okienku nr budynku zabrac wazny dokument formularz wejsciu zalatwic gminie to o i mi przykro odpowiedziec pytanie",
-    "de": "der die das und ist sind nicht ein eine einen einem einer ich sie wir ihr auf am im in von vom zu zur mit bei fur wo wie was wann welche welchen brauche bekomme kann konnen bitte bringen stellen den dem des antrag gebuhr betragt wird vor ort bezahlt dauert regel tage uber es leider dazu keine liegen mir diese frage informieren",
-    "en": "the a an is are was and or not of to for in on at by from with i you we it this that can could do does how where what which when why get need moved last month ask about please bring valid which available apply should book before they come fee be paid cash card office open between takes your my me am sorry no have has information topic cannot help unfortunately",
+    "cs": "a aby ale ani asi až bez bude budou byl byla bylo byly být co či do ho i já jak jako je jeho její jejich jen ještě jsem jsi jsme jsou jste k kde kdo kdy když která které který kterou kterého ke kolik lze má mají mám máte mezi mi může mohu mohl možné musí musím můžete my na nad nám nás nebo než ne není ní o od on ona oni pak po pod podle pokud pouze pro proč proto před předem při s se si své svůj ta tady tak také tam té ten této tím to tohoto toto tu tuto ty u už v vám vás váš ve vše však z za ze že dobrý den děkuji prosím chtěl bych dní trvá obvykle",
+    "sk": "a aby ale ani asi až bez bol bola boli bolo bude budú budeme byť cez čo či do ho i ja ak ako je jeho jej ich len ešte som si sme sú ste k kde kto kedy keď ktorá ktoré ktorý ku koľko má majú mám máte medzi mi môže môžem môžete možno musí musím my na nad nám nás alebo než nie o od on ona oni potom po pod podľa pokiaľ iba pre prečo preto pred pri s sa si svoje tá tu tak tiež tam tej ten tejto tým to tohto toto túto ty u už v vám vás váš vo všetko však z za zo že dobrý deň ďakujem prosím chcel by dní trvá",
+    "pl": "a aby ale ani bez być był była było były będzie co czy dla do go i ile ja jak jako je jego jej ją jest jestem jeśli już kiedy kto która które który którzy lub ma mają mam mi może można mogę mogą musi my na nad nam nas nie nich o od on ona oni oraz po pod podczas przed przez przy się są swoje ta tak także tam tego tej ten to tu ty tylko tym u w was we więc wszystko z za ze że żeby proszę należy dzień dobry dziękuję gdzie dlaczego",
+    "de": "aber als am an auch auf aus bei bin bis das dass dem den der des die dies diese dieser doch du durch ein eine einem einen einer er es für haben hat ich ihm ihn ihr ihnen im in ist ja kann können man mehr mein mit muss nach nicht noch nur oder ohne schon sein sich sie sind so über um und uns unter vom von vor war was welche welchen wenn wer werden wie wir wird wo zu zum zur bitte guten tag danke",
+    "en": "a about after all also an and any are as at be been before but by can could did do does for from had has have he her his how i if in into is it its just may me more must my no not of on only or our out over please she should so some such than that the their them then there these they this those to up us was we were what when where which who why will with would you your hello thank thanks need last month year week day get go new like make want help time use find one two first many much",
 }
 # Frequent words of further languages; those that a language above also has don't count.
 FURTHER = {
@@ -43,8 +43,8 @@ GROUPS = {
     "cs": "ř ě ů ou ého ní", "sk": "ľ ĺ ŕ ô ä ého ie", "pl": "ł ę ą ś ż sz cz rz", "de": "ß ü sch ung ein ich", "en": "th ing wh ght tion ee", "fr": "ç ê eau oi ux é", "es": "ñ ción ll ¿ ad os",
     "it": "zione gli cch à ò tt", "pt": "ã õ ção lh nh", "nl": "ij oo aa een cht", "hu": "ő ű gy sz ny á", "ro": "ă ț ș ul ea", "hr": "đ ije nj lj ć",
 }
-# Letters that only one of these languages has, looked for in words without a capital.
-LETTERS = {"cs": set("řěů"), "sk": set("ľĺŕôä"), "pl": set("łżśćąęźń"), "de": set("ßüöä")}
+# Letters that few of these languages have, looked for in words without a capital.
+LETTERS = {"cs": set("řěů"), "sk": set("ľĺŕôä"), "pl": set("łżśćąęźń"), "de": set("ßüöä"), "hu": set("őűöü"), "hr": set("ćđ")}
 # Code point ranges of other scripts, taken as languages of their own.
 SCRIPTS = {"cyrillic": "\u0400-\u052f", "greek": "\u0370-\u03ff", "arabic": "\u0600-\u06ff", "hebrew": "\u0590-\u05ff", "han": "\u3040-\u30ff\u4e00-\u9fff", "hangul": "\uac00-\ud7af"}
 # How a question asks for a language, folded.
@@ -55,7 +55,6 @@ REQUESTS = {
     "de": r"\bnemecky\b|\bnemcin|\bin german\b|\bauf deutsch|\bpo niemiecku",
     "pl": r"\bpolsky\b|\bpolstin|\bin polish\b|\bauf polnisch|\bpo polsku",
 }
-_SPEAKERS = {w: [c for c, ws in WORDS.items() if w in ws.split()] for w in " ".join(WORDS.values()).split()}
 _BARRED = str.maketrans("łđøß", "ldos")
 
 
@@ -111,11 +110,14 @@ def fold(text: str) -> str:
     return " ".join(_WORD.findall(low))
 
 
-_KNOWN_WORDS = set(_SPEAKERS)
+_SPEAKERS: dict[str, list[str]] = {}
+for _language, _words in WORDS.items():
+    for _w in set(fold(_words).split()):
+        _SPEAKERS.setdefault(_w, []).append(_language)
+_SHARED = set(_SPEAKERS)
 for _language, _words in FURTHER.items():
-    for _w in _words.split():
-        if _w not in _KNOWN_WORDS:
-            _SPEAKERS.setdefault(_w, []).append(_language)
+    for _w in set(fold(_words).split()) - _SHARED:
+        _SPEAKERS.setdefault(_w, []).append(_language)
 
 
 @lru_cache(65536)
