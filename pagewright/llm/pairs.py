@@ -55,7 +55,6 @@ REQUESTS = {
     "de": r"\bnemecky\b|\bnemcin|\bin german\b|\bauf deutsch|\bpo niemiecku",
     "pl": r"\bpolsky\b|\bpolstin|\bin polish\b|\bauf polnisch|\bpo polsku",
 }
-_BARRED = str.maketrans("łđøß", "ldos")
 
 
 ROLE = re.compile(r"(?i)^\s*(?:human|user|bot|assistant|uživatel|asistent|otázka|odpověď|question|answer|q|a)\s*:\s*")
@@ -96,7 +95,7 @@ _ASKED = {language: re.compile(p) for language, p in REQUESTS.items()}
 _NEGATIVE = re.compile(r"\bne|\bno\b|\bnot\b|\bnon\b|\bnie\b|nicht|\bkein|cannot|can t|don t|unable|mimo|zakaz|nad ramec|outside|beyond|weis")
 
 _MARKS = re.compile("[\u0300-\u036f\u1ab0-\u1aff\u1dc0-\u1dff\u20d0-\u20ff]+")
-_WORD, _LETTERS = re.compile(r"[^\W_]+"), re.compile(r"[^\W\d_]+")
+_WORD = re.compile(r"[^\W_]+")
 _MARKUP = re.compile(r"(?s)<!--.*?-->|<[^<>]*>|&nbsp;|&#160;")
 _SENTENCE = re.compile(r"[\r\n]\s*|[.!?][\"“”')]?\s+")
 _QUOTED = re.compile(r"„[^“”\"]*[“”\"]|\"[^\"\n]*\"|“[^”\n]*”|»[^«\n]*«|https?://\S+|\]\([^)]*\)")
@@ -104,10 +103,18 @@ _NOT_LATIN = re.compile("[\u0370-\u1dff\u2c60-\ud7ff]")
 _SCRIPT = {name: re.compile(f"[{span}]") for name, span in SCRIPTS.items()}
 
 
+#: Signs as blanks, and letters that have no decomposition.
+_PLAIN = str.maketrans({c: " " for c in [*map(chr, range(0x80)), *"„“”‚‘’…–—•·»«§°\xa0"] if not c.isalnum()} | {"ł": "l", "đ": "d", "ß": "s", "ø": "o"})
+
+
 def fold(text: str) -> str:
     """Lower-case words without diacritics, one blank between them, nothing else."""
-    low = text.lower() if text.isascii() else _MARKS.sub("", unicodedata.normalize("NFKD", text.lower())).translate(_BARRED)
-    return " ".join(_WORD.findall(low))
+    low = text.lower()
+    if not low.isascii():
+        low = _MARKS.sub("", unicodedata.normalize("NFKD", low))
+    words = " ".join(low.translate(_PLAIN).split())
+    # rarer signs are left to the slower way
+    return words if not words or words.replace(" ", "").isalnum() else " ".join(_WORD.findall(low.translate(_PLAIN)))
 
 
 _SPEAKERS: dict[str, list[str]] = {}
@@ -120,12 +127,18 @@ for _language, _words in FURTHER.items():
         _SPEAKERS.setdefault(_w, []).append(_language)
 
 
+_SIGNS = ".,:;!?()[]{}<>\"'„“”‚‘’…–—-*_/|"
+
+
 @lru_cache(65536)
-def _speakers(word: str) -> list[str]:
-    """The languages a word speaks for, twice those whose letters it has."""
+def _speakers(token: str) -> list[str]:
+    """The languages a word speaks for, twice those whose letters it has; signs around it don't matter."""
+    word = token.strip(_SIGNS)
+    if not word:
+        return []
     # words without a capital only: place names keep their letters in every language
     own = [c for c, letters in LETTERS.items() if word[0].islower() and not letters.isdisjoint(word)]
-    return _SPEAKERS.get(fold(word), []) + own * 2
+    return [language for w in fold(word).split() for language in _SPEAKERS.get(w, ())] + own * 2
 
 
 def _clear(hits: Counter, least: int, margin: float) -> str | None:
@@ -142,7 +155,7 @@ def guess_language(text: str | None) -> str | None:
         for name, script in _SCRIPT.items():
             if 2 * len(script.findall(text)) > letters > 0:
                 return name
-    words = _LETTERS.findall(text)
+    words = text.split()
     found = _clear(Counter(chain.from_iterable(map(_speakers, words))), 2, 1.0)
     if found or len(words) < 4:
         return found
